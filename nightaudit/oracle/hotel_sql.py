@@ -102,7 +102,12 @@ def with_hotel_tables(query: str) -> str:
             needed.add(name)
             needed |= deps.get(name, set())
     body = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes if name in needed)
-    return f"WITH {body}\n{query}" if body else query
+    if not body:
+        return query
+    stripped = query.lstrip()
+    if stripped[:4].upper() == "WITH":
+        return f"WITH {body},\n{stripped[4:]}"
+    return f"WITH {body}\n{query}"
 
 
 def _mentions(text: str, word: str) -> bool:

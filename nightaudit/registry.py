@@ -62,3 +62,104 @@ def q_child_tax_rollup(spark, sf_dir):
 def q_daily_stay_revenue(spark, sf_dir):
     t = hotel_tables(spark, sf_dir)
     return revenue.daily_stay_revenue(revenue.ledger_detail(t["financial_transactions"], t["trx_codes"]))
+
+
+# ---------------------------------------------------------------------------
+# reservation detail (Q2) family
+# ---------------------------------------------------------------------------
+from nightaudit.operators import lookups  # noqa: E402
+from nightaudit.operators.asof import stay_and_eur_rates  # noqa: E402
+from nightaudit.plans import detail  # noqa: E402
+
+NIGHT_KEYS = ["resort", "resv_name_id", "reservation_date"]
+
+
+def _nights(t):
+    """Every nightly row of a known reservation (the lookups' driving rows)."""
+    rn = t["reservation_name"]
+    return t["reservation_daily_element_name"].join(
+        rn.select("resort", "resv_name_id", "trunc_end_date"), ["resort", "resv_name_id"])
+
+
+@register("reservation_detail")
+def q_reservation_detail(spark, sf_dir):
+    return detail.reservation_detail(hotel_tables(spark, sf_dir))
+
+
+@register("inhouse_today")
+def q_inhouse_today(spark, sf_dir):
+    return detail.inhouse_today(hotel_tables(spark, sf_dir))
+
+
+@register("reservation_extract")
+def q_reservation_extract(spark, sf_dir):
+    return detail.reservation_extract(hotel_tables(spark, sf_dir))
+
+
+def _night_rates(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    nights = _nights(t).select(*NIGHT_KEYS, "currency_code")
+    info = lookups.sized_broadcast(detail.resort_info(t))
+    fx = stay_and_eur_rates(nights, t["currency_exchange_rates"], info).select(
+        F.col("resort").alias("_r"), F.col("reservation_date").alias("_d"), F.col("currency_code").alias("_c"),
+        "exchange_rate", "eur_exchange_rate")
+    return nights.join(fx, (F.col("resort") == F.col("_r")) & (F.col("reservation_date") == F.col("_d"))
+                       & F.col("currency_code").eqNullSafe(F.col("_c")), "left")
+
+
+@register("asof_stay_rate")
+def q_asof_stay_rate(spark, sf_dir):
+    return _night_rates(spark, sf_dir).select(*NIGHT_KEYS, "currency_code", "exchange_rate")
+
+
+@register("asof_eur_rate")
+def q_asof_eur_rate(spark, sf_dir):
+    return _night_rates(spark, sf_dir).select(*NIGHT_KEYS, "eur_exchange_rate")
+
+
+@register("open_business_date_rows")
+def q_open_business_date_rows(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    opened = detail.open_business_dates(t).select("resort", F.col("business_date").alias("reservation_date"))
+    return (_nights(t).join(lookups.sized_broadcast(opened), ["resort", "reservation_date"], "left_semi")
+            .select(*NIGHT_KEYS, "resv_daily_el_seq"))
+
+
+@register("actual_or_forecast_revenue")
+def q_actual_or_forecast_revenue(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    f = _nights(t).select(*NIGHT_KEYS).join(lookups.sized_broadcast(detail.resort_info(t)), "resort", "left")
+    return detail.actual_or_forecast(f, t).select(*NIGHT_KEYS, "room_revenue", "room_revenue_tax")
+
+
+@register("slot_share_priority")
+def q_slot_share_priority(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    counts = flags.slot_share_count(t["reservation_name"], t["reservation_daily_element_name"])
+    return (_nights(t).join(counts, "resv_daily_el_seq", "left")
+            .select(*NIGHT_KEYS, flags.share_priority(F.col("slot_nights"), F.col("share_priority"))
+                    .alias("share_priority")))
+
+
+@register("repeat_guest_flag")
+def q_repeat_guest_flag(spark, sf_dir):
+    return flags.repeat_guest_flag(hotel_tables(spark, sf_dir)["reservation_name"])
+
+
+@register("first_account_code")
+def q_first_account_code(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    agents = (t["reservation_daily_element_name"].where(F.col("travel_agent_id").isNotNull())
+              .select("travel_agent_id").distinct())
+    acc = lookups.first_account_code(t["ar_account"], t["ppor_ar"]).withColumnRenamed("name_id", "travel_agent_id")
+    f = agents.join(acc, "travel_agent_id", "left")
+    return lookups.lookup(f, t["ppor_name_ar"], {"travel_agent_id": "name_id"}, {"acc_code": "acc_code2"},
+                          "ppor_name_ar")
+
+
+@register("profile_lookups")
+def q_profile_lookups(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return detail.reservation_detail(t).select(
+        *NIGHT_KEYS, "resort_name", "first_name", "last_name", "nationality", "travel_agent", "company",
+        "group_profile", "market_code_description", "group_name", "guest_country", "bookedroomtype", "roomtype")

@@ -163,3 +163,47 @@ def q_profile_lookups(spark, sf_dir):
     return detail.reservation_detail(t).select(
         *NIGHT_KEYS, "resort_name", "first_name", "last_name", "nationality", "travel_agent", "company",
         "group_profile", "market_code_description", "group_name", "guest_country", "bookedroomtype", "roomtype")
+
+
+# ---------------------------------------------------------------------------
+# loyalty statement (Q1) family
+# ---------------------------------------------------------------------------
+from nightaudit.operators.contacts import preferred_contact  # noqa: E402
+from nightaudit.operators.lists import bill_number_list  # noqa: E402
+from nightaudit.plans import loyalty  # noqa: E402
+
+
+@register("loyalty_statement")
+def q_loyalty_statement(spark, sf_dir):
+    return loyalty.loyalty_statement(hotel_tables(spark, sf_dir))
+
+
+@register("revenue_classes")
+def q_revenue_classes(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return revenue.revenue_classes(t["financial_transactions"], t["trx_codes"], t["resort_products"])
+
+
+@register("bill_number_list")
+def q_bill_number_list(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    ft = t["financial_transactions"].where((F.col("ft_subtype") == "C") & F.col("trx_no_added_by").isNull())
+    rn = t["reservation_name"].where(F.col("resv_status") == "CHECKED OUT").select(
+        "resort", F.col("resv_name_id").alias("original_resv_name_id"))
+    bills = ft.join(rn, ["resort", "original_resv_name_id"]).select(
+        "resort", F.col("original_resv_name_id").alias("resv_name_id"), "bill_no").distinct()
+    return bills.groupBy("resort", "resv_name_id").agg(bill_number_list("bill_no").alias("bill_no"))
+
+
+@register("departure_day_lookup")
+def q_departure_day_lookup(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return (t["reservation_name"].select("resort", "resv_name_id")
+            .join(loyalty.departure_names(t), ["resort", "resv_name_id"], "left"))
+
+
+@register("preferred_contact")
+def q_preferred_contact(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return (t["name"].select("name_id")
+            .join(preferred_contact(t["name_phone"], t["name_document"]), "name_id", "left"))

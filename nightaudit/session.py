@@ -22,6 +22,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     if master:
         builder = builder.master(master)
     builder = (builder.config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("NIGHTAUDIT_DRIVER_MEMORY", "16g")))
     for k, v in SCALE_CONF.items():

@@ -207,3 +207,34 @@ def q_preferred_contact(spark, sf_dir):
     t = hotel_tables(spark, sf_dir)
     return (t["name"].select("name_id")
             .join(preferred_contact(t["name_phone"], t["name_document"]), "name_id", "left"))
+
+
+# ---------------------------------------------------------------------------
+# fiscal gate (Q7) family
+# ---------------------------------------------------------------------------
+from nightaudit.plans import fiscal  # noqa: E402
+
+FISCAL_KEYS = ["bill_no", "resort", "resv_name_id", "folio_view"]
+
+
+@register("fiscal_outcomes")
+def q_fiscal_outcomes(spark, sf_dir):
+    return fiscal.fiscal_outcomes(hotel_tables(spark, sf_dir)).select(*FISCAL_KEYS, "outcome")
+
+
+@register("fiscal_items")
+def q_fiscal_items(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return fiscal.fiscal_items(t, t["folio_tax"])
+
+
+@register("fiscal_payments")
+def q_fiscal_payments(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return fiscal.fiscal_payments(t, t["folio_tax"])
+
+
+@register("fiscal_documents")
+def q_fiscal_documents(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return fiscal.fiscal_documents(t, fiscal.fiscal_outcomes(t))

@@ -238,3 +238,10 @@ def q_fiscal_payments(spark, sf_dir):
 def q_fiscal_documents(spark, sf_dir):
     t = hotel_tables(spark, sf_dir)
     return fiscal.fiscal_documents(t, fiscal.fiscal_outcomes(t))
+
+
+@register("fiscal_stream")
+def q_fiscal_stream(spark, sf_dir):
+    """The same outcomes, produced by the streaming job (several micro-batches)."""
+    from nightaudit.streaming.fiscal_stream import fiscal_stream_outcomes
+    return fiscal_stream_outcomes(spark, hotel_tables(spark, sf_dir)).select(*FISCAL_KEYS, "outcome")

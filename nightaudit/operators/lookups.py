@@ -16,26 +16,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions at most this many rows may be broadcast (checked, see sized_broadcast).
-BROADCAST_MAX_ROWS = 2_000_000
+# Dimensions of at most this many rows are broadcast (checked, see sized_broadcast);
+# larger ones are shuffle-joined. Override with the session conf below.
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_CONF = "nightaudit.broadcast.maxRows"
 
-_size_checked: dict[int, tuple[DataFrame, bool]] = {}
+_size_checked: dict[tuple[int, int], bool] = {}
 
 
-def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def sized_broadcast(dim: DataFrame, max_rows: int | None = None, remember: bool = True) -> DataFrame:
     """Broadcast ``dim`` only if it provably holds at most ``max_rows`` rows.
 
     The check is ``dim.limit(max_rows + 1).count()``: it stops reading once the
     bound is exceeded, so it is cheap for any size. Beyond the bound the dim is
-    returned as is and joins shuffle (AQE may still switch strategy at run time).
+    returned as is and joins shuffle (AQE may still switch strategy at run
+    time). Results are remembered per logical plan (``semanticHash``) unless
+    ``remember`` is off (e.g. for a streaming micro-batch).
     """
-    key = id(dim)
-    hit = _size_checked.get(key)
-    if hit is None or hit[0] is not dim:
+    if max_rows is None:
+        max_rows = int(dim.sparkSession.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_ROWS)))
+    key = (dim.semanticHash(), max_rows)
+    small = _size_checked.get(key) if remember else None
+    if small is None:
         small = dim.limit(max_rows + 1).count() <= max_rows
-        _size_checked[key] = (dim, small)
-        hit = _size_checked[key]
-    return F.broadcast(dim) if hit[1] else dim
+        if remember:
+            _size_checked[key] = small
+    return F.broadcast(dim) if small else dim
 
 
 def unique_on(dim: DataFrame, keys: Sequence[str], values: Sequence[str], what: str) -> DataFrame:
@@ -57,14 +63,17 @@ def _all_not_null(keys: Sequence[str]) -> Column:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], values: dict[str, str], what: str,
-           broadcast: bool = False) -> DataFrame:
+           broadcast: bool = True, checked: bool = False) -> DataFrame:
     """Left-join single-row lookup.
 
-    ``on`` maps fact column -> dim column, ``values`` maps dim column -> output name.
+    ``on`` maps fact column -> dim column, ``values`` maps dim column -> output
+    name. The key-checked dim is broadcast when its row count is within the
+    bound (``sized_broadcast``), else shuffle-joined. ``checked``: ``dim`` is
+    already unique on the keys (from ``unique_on``).
     """
     dim_keys = list(on.values())
     tmp = {k: f"_lk_{what}_{i}" for i, k in enumerate(dim_keys)}
-    d = unique_on(dim, dim_keys, list(values), what)
+    d = dim if checked else unique_on(dim, dim_keys, list(values), what)
     d = d.select(*[F.col(k).alias(tmp[k]) for k in dim_keys],
                  *[F.col(v).alias(out) for v, out in values.items()])
     if broadcast:

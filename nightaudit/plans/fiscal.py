@@ -45,16 +45,26 @@ def _deposit_codes(t) -> DataFrame:
     return unique_on(p, ["resort"], ["value"], "params").withColumnRenamed("value", "deposit_code")
 
 
-def _postings(t) -> DataFrame:
+def _postings(t, bills: DataFrame | None = None, small_batch: bool = False) -> DataFrame:
     """Postings with their code attributes (inner join, as the reference) and
-    the resort's deposit code."""
+    the resort's deposit code.
+
+    With ``bills``, only postings on those bills' folios are kept, before any
+    aggregation (a left semi join on the folio key). ``small_batch``: the
+    bills are a bounded micro-batch, so their folio keys are broadcast after
+    a size check and the postings are filtered without being shuffled.
+    """
     codes = sized_broadcast(t["trx_codes"].select("resort", "trx_code", "trx_code_type", "description",
                                                   "cc_type", "ind_billing"))
-    return (t["financial_transactions"]
-            .select("trx_no", *FOLIO, "bill_no", "trx_code", "ft_subtype", "trx_no_added_by", "gross_amount",
-                    "net_amount", "tax_inclusive_yn", "arrangement_id", "guest_account_credit",
-                    "guest_account_debit")
-            .join(codes, ["resort", "trx_code"])
+    ft = t["financial_transactions"].select(
+        "trx_no", *FOLIO, "bill_no", "trx_code", "ft_subtype", "trx_no_added_by", "gross_amount", "net_amount",
+        "tax_inclusive_yn", "arrangement_id", "guest_account_credit", "guest_account_debit")
+    if bills is not None:
+        folios = bills.select(*FOLIO).distinct()
+        if small_batch:
+            folios = sized_broadcast(folios, remember=False)
+        ft = ft.join(folios, FOLIO, "left_semi")
+    return (ft.join(codes, ["resort", "trx_code"])
             .join(sized_broadcast(_deposit_codes(t)), "resort", "left"))
 
 
@@ -76,9 +86,9 @@ def _per_bill(bills: DataFrame, rows: DataFrame, group: list[str], sums: dict[st
             .groupBy(*FOLIO, "bill_no", *group).agg(*[F.sum(out).alias(out) for out in sums]))
 
 
-def rule_counts(t, bills: DataFrame) -> DataFrame:
+def rule_counts(t, bills: DataFrame, small_batch: bool = False) -> DataFrame:
     """Per bill, the rule-6 payment count and the positive-posting count."""
-    p = _postings(t)
+    p = _postings(t, bills if small_batch else None, small_batch)
     mpay = ((F.col("trx_no_added_by").isNull() & (F.col("ft_subtype") == "FC")
              & (F.col("deposit_code") != F.col("trx_code")) & (F.col("ind_billing") == "N")))
     ppost = (F.col("gross_amount") > 0) & (F.coalesce(F.col("trx_code_type"), F.lit("@")) != "X")
@@ -93,10 +103,10 @@ def _terminals(t) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("terminal_rows"), F.max(F.trim(F.col("description"))).alias("url")))
 
 
-def fiscal_outcomes(t, bills: DataFrame | None = None) -> DataFrame:
+def fiscal_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False) -> DataFrame:
     """One outcome per bill: (bill_no, resort, resv_name_id, folio_view, outcome, message, url)."""
     bills = t["folio_tax"] if bills is None else bills
-    counts = rule_counts(t, bills)
+    counts = rule_counts(t, bills, small_batch)
     b = (bills.join(counts, [*FOLIO, "bill_no"], "left")
          .join(sized_broadcast(_terminals(t)), F.col("terminal") == F.col("station_id"), "left"))
     total = F.coalesce(F.col("total_gross"), F.lit(0))
@@ -122,10 +132,10 @@ def fiscal_outcomes(t, bills: DataFrame | None = None) -> DataFrame:
             .withColumn("message", message))
 
 
-def fiscal_items(t, bills: DataFrame) -> DataFrame:
+def fiscal_items(t, bills: DataFrame, only_their_folios: bool = False, small_batch: bool = False) -> DataFrame:
     """A9 + J12j + U2: per bill the item groups (code, description, VAT) with
     ``SUM(gross) <> 0``; ``price`` is ``ABS(SUM(gross))`` and ``item`` its JSON text."""
-    p = _postings(t)
+    p = _postings(t, bills if only_their_folios else None, small_batch)
     arr = sized_broadcast(unique_on(t["trx_code_arrangement"], ["resort", "arrangement_id"], ["arrangement_code"],
                                     "trx_code_arrangement"))
     tr = t["fin_trx_translation"].where((F.col("translated_column") == "Arrangement_desc")
@@ -152,10 +162,10 @@ def fiscal_items(t, bills: DataFrame) -> DataFrame:
                     F.replace(F.trim(text), F.lit(" "), F.lit("")).alias("item"))
 
 
-def fiscal_payments(t, bills: DataFrame) -> DataFrame:
+def fiscal_payments(t, bills: DataFrame, only_their_folios: bool = False, small_batch: bool = False) -> DataFrame:
     """A10 + U3: per bill the payment groups (code, description, card flag)
     with ``SUM(credit - debit) <> 0``; ``total`` is the absolute sum."""
-    p = _postings(t)
+    p = _postings(t, bills if only_their_folios else None, small_batch)
     tr = t["fin_trx_translation"].where((F.col("translated_column") == "DESCRIPTION")
                                         & (F.col("language_code") == TRANSLATION_LANGUAGE))
     tr = sized_broadcast(unique_on(tr, ["resort", "trx_code"], ["description"], "payment translation")
@@ -178,12 +188,13 @@ def fiscal_payments(t, bills: DataFrame) -> DataFrame:
                     F.replace(F.trim(text), F.lit(" "), F.lit("")).alias("item"))
 
 
-def fiscal_documents(t, outcomes: DataFrame) -> DataFrame:
-    """The JSON document of every SEND bill: (resort, bill_no, url, document)."""
+def fiscal_documents(t, outcomes: DataFrame, small_batch: bool = False) -> DataFrame:
+    """The JSON document of every SEND bill: (resort, bill_no, url, document).
+    Only the postings of the SEND bills' folios are aggregated."""
     send = outcomes.where(F.col("outcome") == "SEND").select(*FOLIO, "bill_no", "total_gross", "url")
-    items = fiscal_items(t, send).groupBy(*FOLIO, "bill_no").agg(
+    items = fiscal_items(t, send, True, small_batch).groupBy(*FOLIO, "bill_no").agg(
         ordered_text_list("item", ",", [F.col("item_code"), F.col("item_name"), F.col("vat_rate")]).alias("_items"))
-    pays = fiscal_payments(t, send).groupBy(*FOLIO, "bill_no").agg(
+    pays = fiscal_payments(t, send, True, small_batch).groupBy(*FOLIO, "bill_no").agg(
         ordered_text_list("item", ",", [F.col("trx_code"), F.col("pay_name"), F.col("card")]).alias("_pays"))
     doc = text_concat('{"FiscalDocType": ',
                       F.when(F.col("total_gross") > 0, F.lit("1")).otherwise(F.lit("0")),
@@ -193,7 +204,7 @@ def fiscal_documents(t, outcomes: DataFrame) -> DataFrame:
             .select("resort", "bill_no", "url", doc.alias("document")))
 
 
-def fiscal_gate(t, bills: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def fiscal_gate(t, bills: DataFrame | None = None, small_batch: bool = False) -> tuple[DataFrame, DataFrame]:
     """Batch form of the trigger: (outcomes, documents) for ``bills``."""
-    outcomes = fiscal_outcomes(t, bills)
-    return outcomes, fiscal_documents(t, outcomes)
+    outcomes = fiscal_outcomes(t, bills, small_batch)
+    return outcomes, fiscal_documents(t, outcomes, small_batch)

@@ -16,9 +16,8 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from nightaudit.plans.fiscal import fiscal_gate
+from nightaudit.plans.fiscal import fiscal_documents, fiscal_outcomes
 from nightaudit.session import ensure_checkpoint_dir
 from nightaudit.sources.schemas import HOTEL_SCHEMAS
 
@@ -34,10 +33,11 @@ def start_fiscal_stream(spark: SparkSession, t, source_dir: str, sink_dir: str,
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            outcomes, documents = fiscal_gate(t, batch)
-            (outcomes.withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").parquet(os.path.join(sink_dir, "outcomes", f"batch_id={batch_id}")))
-            (documents.withColumn("batch_id", F.lit(batch_id))
+            out_path = os.path.join(sink_dir, "outcomes", f"batch_id={batch_id}")
+            fiscal_outcomes(t, batch, small_batch=True).write.mode("overwrite").parquet(out_path)
+            # documents start from the stored outcomes: no second pass over the rule counts
+            outcomes = spark.read.parquet(out_path)
+            (fiscal_documents(t, outcomes, small_batch=True)
              .write.mode("overwrite").parquet(os.path.join(sink_dir, "outbox", f"batch_id={batch_id}")))
         finally:
             batch.unpersist()
@@ -58,4 +58,4 @@ def fiscal_stream_outcomes(spark: SparkSession, t, files: int = 4) -> DataFrame:
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(os.path.join(sink, "outcomes"))
+    return spark.read.parquet(os.path.join(sink, "outcomes")).drop("batch_id")

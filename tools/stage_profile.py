@@ -48,7 +48,7 @@ def main():
         marks.append((name, time.time() - t0))
         spark.sparkContext.setJobGroup("", "")
     spark.stop()
-    stages, job_group = {}, {}
+    stages, job_group, task_ms = {}, {}, {}
     for f in [p for p in glob.glob(os.path.join(logdir, "**", "*"), recursive=True) if os.path.isfile(p)]:
         for line in open(f):
             e = json.loads(line)
@@ -57,17 +57,21 @@ def main():
                 g = (e.get("Properties") or {}).get("spark.jobGroup.id")
                 for sid in e.get("Stage IDs", []):
                     job_group[sid] = g
+            elif ev == "SparkListenerTaskEnd":
+                m = e.get("Task Metrics") or {}
+                task_ms[e["Stage ID"]] = task_ms.get(e["Stage ID"], 0) + m.get("Executor Run Time", 0)
             elif ev == "SparkListenerStageCompleted":
                 info = e["Stage Info"]
                 dur = (info.get("Completion Time", 0) - info.get("Submission Time", 0)) / 1000
                 rdds = [r.get("Name", "") for r in info.get("RDD Info", [])]
                 stages[info["Stage ID"]] = (dur, info.get("Number of Tasks"), info.get("Stage Name", ""), rdds)
     for name, total in marks:
-        mine = sorted(((v, k) for k, v in stages.items() if job_group.get(k) == name), reverse=True)
-        print(f"== {name}: {total:.2f}s, {len(mine)} stages, stage time sum {sum(v[0][0] for v in mine):.2f}s")
-        for (dur, ntasks, sname, rdds), sid in mine[:args.top]:
-            ops = ",".join(sorted({r.split(" ")[0] for r in rdds if r}))[:90]
-            print(f"   stage {sid:4d} {dur:6.2f}s tasks={ntasks:4d} {sname[:50]} | {ops}")
+        mine = sorted(((task_ms.get(k, 0) / 1000, v, k) for k, v in stages.items() if job_group.get(k) == name),
+                      reverse=True)
+        print(f"== {name}: {total:.2f}s wall, {len(mine)} stages, task time sum {sum(m[0] for m in mine):.2f}s")
+        for cpu, (dur, ntasks, sname, rdds), sid in mine[:args.top]:
+            ops = ",".join(sorted({r.split(" ")[0] for r in rdds if r}))[:80]
+            print(f"   stage {sid:4d} task {cpu:6.2f}s wall {dur:5.2f}s tasks={ntasks:4d} | {ops}")
 
 
 if __name__ == "__main__":

@@ -17,6 +17,9 @@ Here all bills of a batch are processed at once:
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,7 @@ from nightaudit.functions.oracle import is_fractional, text_concat, to_char_int,
 from nightaudit.operators.lists import ordered_text_list
 from nightaudit.operators.lookups import sized_broadcast, unique_on
 from nightaudit.operators.revenue import calc_tax_percentage, child_tax
+from nightaudit.session import ensure_checkpoint_dir
 
 FOLIO = ["resort", "resv_name_id", "folio_view"]
 
@@ -204,7 +208,20 @@ def fiscal_documents(t, outcomes: DataFrame, small_batch: bool = False) -> DataF
             .select("resort", "bill_no", "url", doc.alias("document")))
 
 
-def fiscal_gate(t, bills: DataFrame | None = None, small_batch: bool = False) -> tuple[DataFrame, DataFrame]:
+def stored_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False,
+                    path: str | None = None) -> DataFrame:
+    """``fiscal_outcomes`` computed once and written as a table (default: a fresh
+    folder under the shared ``spark.checkpoint.dir``); the documents, which use
+    the outcomes three times, then start from the stored table."""
+    spark = t["folio_tax"].sparkSession
+    if path is None:
+        path = os.path.join(ensure_checkpoint_dir(spark), "nightaudit-fiscal", uuid.uuid4().hex, "outcomes")
+    fiscal_outcomes(t, bills, small_batch).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def fiscal_gate(t, bills: DataFrame | None = None, small_batch: bool = False,
+                outcomes_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Batch form of the trigger: (outcomes, documents) for ``bills``."""
-    outcomes = fiscal_outcomes(t, bills, small_batch)
+    outcomes = stored_outcomes(t, bills, small_batch, outcomes_path)
     return outcomes, fiscal_documents(t, outcomes, small_batch)

@@ -236,8 +236,7 @@ def q_fiscal_payments(spark, sf_dir):
 
 @register("fiscal_documents")
 def q_fiscal_documents(spark, sf_dir):
-    t = hotel_tables(spark, sf_dir)
-    return fiscal.fiscal_documents(t, fiscal.fiscal_outcomes(t))
+    return fiscal.fiscal_gate(hotel_tables(spark, sf_dir))[1]
 
 
 @register("fiscal_stream")

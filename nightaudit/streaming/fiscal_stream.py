@@ -17,7 +17,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightaudit.plans.fiscal import fiscal_documents, fiscal_outcomes
+from nightaudit.plans.fiscal import fiscal_gate
 from nightaudit.session import ensure_checkpoint_dir
 from nightaudit.sources.schemas import HOTEL_SCHEMAS
 
@@ -33,12 +33,10 @@ def start_fiscal_stream(spark: SparkSession, t, source_dir: str, sink_dir: str,
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            out_path = os.path.join(sink_dir, "outcomes", f"batch_id={batch_id}")
-            fiscal_outcomes(t, batch, small_batch=True).write.mode("overwrite").parquet(out_path)
-            # documents start from the stored outcomes: no second pass over the rule counts
-            outcomes = spark.read.parquet(out_path)
-            (fiscal_documents(t, outcomes, small_batch=True)
-             .write.mode("overwrite").parquet(os.path.join(sink_dir, "outbox", f"batch_id={batch_id}")))
+            # outcomes are written to the sink first; documents start from them
+            _, documents = fiscal_gate(t, batch, small_batch=True,
+                                       outcomes_path=os.path.join(sink_dir, "outcomes", f"batch_id={batch_id}"))
+            documents.write.mode("overwrite").parquet(os.path.join(sink_dir, "outbox", f"batch_id={batch_id}"))
         finally:
             batch.unpersist()
 

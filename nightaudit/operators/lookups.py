@@ -62,17 +62,30 @@ def _all_not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def restrict_to(dim: DataFrame, fact: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Keep only the dim rows whose key the fact asks for (left semi join on the
+    fact's distinct keys). Exact for per-key lookups and per-key aggregates;
+    worth it when the fact is a small slice of what the dim covers."""
+    wanted = fact.select(*[F.col(fk).alias(dk) for fk, dk in on.items()]).distinct()
+    return dim.join(wanted, list(on.values()), "left_semi")
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], values: dict[str, str], what: str,
-           broadcast: bool = True, checked: bool = False) -> DataFrame:
+           broadcast: bool = True, checked: bool = False, narrow: bool = False) -> DataFrame:
     """Left-join single-row lookup.
 
     ``on`` maps fact column -> dim column, ``values`` maps dim column -> output
     name. The key-checked dim is broadcast when its row count is within the
     bound (``sized_broadcast``), else shuffle-joined. ``checked``: ``dim`` is
-    already unique on the keys (from ``unique_on``).
+    already unique on the keys (from ``unique_on``). ``narrow``: the fact is a
+    small slice - restrict the dim to its keys first (``restrict_to``), so only
+    the rows asked for are key-checked.
     """
     dim_keys = list(on.values())
     tmp = {k: f"_lk_{what}_{i}" for i, k in enumerate(dim_keys)}
+    if narrow:
+        dim = restrict_to(dim, fact, on)
+        broadcast = False  # size unknown before run time: AQE decides from the measured shuffle
     d = dim if checked else unique_on(dim, dim_keys, list(values), what)
     d = d.select(*[F.col(k).alias(tmp[k]) for k in dim_keys],
                  *[F.col(v).alias(out) for v, out in values.items()])

@@ -496,6 +496,8 @@ class HotelTables:
         root = os.path.join(ensure_checkpoint_dir(self.spark), "nightaudit-hotel", _derivation_key(self.sf_dir))
         path = os.path.join(root, name)
         try:
+            # reuse only a complete write: the committer creates _SUCCESS last
+            self.spark.read.text(os.path.join(path, "_SUCCESS"))
             return self.spark.read.parquet(path)
         except AnalysisException:
             df = builder()

@@ -32,3 +32,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["resort", "reservation_date"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, duck_small, name):
+    """Same column names and types as the oracle (the driver compares schemas)."""
+    spark_types = {f.name: f.dataType.simpleString() for f in QUERIES[name](spark, SF_SMALL).schema.fields}
+    rel = duck_small.sql(ORACLE[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in spark_types.items()} == duck_types

@@ -90,9 +90,19 @@ def _per_bill(bills: DataFrame, rows: DataFrame, group: list[str], sums: dict[st
             .groupBy(*FOLIO, "bill_no", *group).agg(*[F.sum(out).alias(out) for out in sums]))
 
 
-def rule_counts(t, bills: DataFrame, small_batch: bool = False) -> DataFrame:
+def batch_postings(t, bills: DataFrame) -> DataFrame:
+    """The postings of a bounded micro-batch's folios, for callers that cache
+    them once and pass them to every step (``postings=``)."""
+    return _postings(t, bills, small_batch=True)
+
+
+def _restricted(p: DataFrame, bills: DataFrame) -> DataFrame:
+    return p.join(bills.select(*FOLIO).distinct(), FOLIO, "left_semi")
+
+
+def rule_counts(t, bills: DataFrame, small_batch: bool = False, postings: DataFrame | None = None) -> DataFrame:
     """Per bill, the rule-6 payment count and the positive-posting count."""
-    p = _postings(t, bills if small_batch else None, small_batch)
+    p = postings if postings is not None else _postings(t, bills if small_batch else None, small_batch)
     mpay = ((F.col("trx_no_added_by").isNull() & (F.col("ft_subtype") == "FC")
              & (F.col("deposit_code") != F.col("trx_code")) & (F.col("ind_billing") == "N")))
     ppost = (F.col("gross_amount") > 0) & (F.coalesce(F.col("trx_code_type"), F.lit("@")) != "X")
@@ -107,10 +117,11 @@ def _terminals(t) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("terminal_rows"), F.max(F.trim(F.col("description"))).alias("url")))
 
 
-def fiscal_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False) -> DataFrame:
+def fiscal_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False,
+                    postings: DataFrame | None = None) -> DataFrame:
     """One outcome per bill: (bill_no, resort, resv_name_id, folio_view, outcome, message, url)."""
     bills = t["folio_tax"] if bills is None else bills
-    counts = rule_counts(t, bills, small_batch)
+    counts = rule_counts(t, bills, small_batch, postings)
     b = (bills.join(counts, [*FOLIO, "bill_no"], "left")
          .join(sized_broadcast(_terminals(t)), F.col("terminal") == F.col("station_id"), "left"))
     total = F.coalesce(F.col("total_gross"), F.lit(0))
@@ -136,10 +147,12 @@ def fiscal_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False
             .withColumn("message", message))
 
 
-def fiscal_items(t, bills: DataFrame, only_their_folios: bool = False, small_batch: bool = False) -> DataFrame:
+def fiscal_items(t, bills: DataFrame, only_their_folios: bool = False, small_batch: bool = False,
+                 postings: DataFrame | None = None) -> DataFrame:
     """A9 + J12j + U2: per bill the item groups (code, description, VAT) with
     ``SUM(gross) <> 0``; ``price`` is ``ABS(SUM(gross))`` and ``item`` its JSON text."""
-    p = _postings(t, bills if only_their_folios else None, small_batch)
+    p = _restricted(postings, bills) if postings is not None else \
+        _postings(t, bills if only_their_folios else None, small_batch)
     arr = sized_broadcast(unique_on(t["trx_code_arrangement"], ["resort", "arrangement_id"], ["arrangement_code"],
                                     "trx_code_arrangement"))
     tr = t["fin_trx_translation"].where((F.col("translated_column") == "Arrangement_desc")
@@ -166,10 +179,12 @@ def fiscal_items(t, bills: DataFrame, only_their_folios: bool = False, small_bat
                     F.replace(F.trim(text), F.lit(" "), F.lit("")).alias("item"))
 
 
-def fiscal_payments(t, bills: DataFrame, only_their_folios: bool = False, small_batch: bool = False) -> DataFrame:
+def fiscal_payments(t, bills: DataFrame, only_their_folios: bool = False, small_batch: bool = False,
+                    postings: DataFrame | None = None) -> DataFrame:
     """A10 + U3: per bill the payment groups (code, description, card flag)
     with ``SUM(credit - debit) <> 0``; ``total`` is the absolute sum."""
-    p = _postings(t, bills if only_their_folios else None, small_batch)
+    p = _restricted(postings, bills) if postings is not None else \
+        _postings(t, bills if only_their_folios else None, small_batch)
     tr = t["fin_trx_translation"].where((F.col("translated_column") == "DESCRIPTION")
                                         & (F.col("language_code") == TRANSLATION_LANGUAGE))
     tr = sized_broadcast(unique_on(tr, ["resort", "trx_code"], ["description"], "payment translation")
@@ -192,13 +207,14 @@ def fiscal_payments(t, bills: DataFrame, only_their_folios: bool = False, small_
                     F.replace(F.trim(text), F.lit(" "), F.lit("")).alias("item"))
 
 
-def fiscal_documents(t, outcomes: DataFrame, small_batch: bool = False) -> DataFrame:
+def fiscal_documents(t, outcomes: DataFrame, small_batch: bool = False,
+                     postings: DataFrame | None = None) -> DataFrame:
     """The JSON document of every SEND bill: (resort, bill_no, url, document).
     Only the postings of the SEND bills' folios are aggregated."""
     send = outcomes.where(F.col("outcome") == "SEND").select(*FOLIO, "bill_no", "total_gross", "url")
-    items = fiscal_items(t, send, True, small_batch).groupBy(*FOLIO, "bill_no").agg(
+    items = fiscal_items(t, send, True, small_batch, postings).groupBy(*FOLIO, "bill_no").agg(
         ordered_text_list("item", ",", [F.col("item_code"), F.col("item_name"), F.col("vat_rate")]).alias("_items"))
-    pays = fiscal_payments(t, send, True, small_batch).groupBy(*FOLIO, "bill_no").agg(
+    pays = fiscal_payments(t, send, True, small_batch, postings).groupBy(*FOLIO, "bill_no").agg(
         ordered_text_list("item", ",", [F.col("trx_code"), F.col("pay_name"), F.col("card")]).alias("_pays"))
     doc = text_concat('{"FiscalDocType": ',
                       F.when(F.col("total_gross") > 0, F.lit("1")).otherwise(F.lit("0")),
@@ -209,19 +225,20 @@ def fiscal_documents(t, outcomes: DataFrame, small_batch: bool = False) -> DataF
 
 
 def stored_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False,
-                    path: str | None = None) -> DataFrame:
+                    path: str | None = None, postings: DataFrame | None = None) -> DataFrame:
     """``fiscal_outcomes`` computed once and written as a table (default: a fresh
     folder under the shared ``spark.checkpoint.dir``); the documents, which use
     the outcomes three times, then start from the stored table."""
     spark = t["folio_tax"].sparkSession
     if path is None:
         path = os.path.join(ensure_checkpoint_dir(spark), "nightaudit-fiscal", uuid.uuid4().hex, "outcomes")
-    fiscal_outcomes(t, bills, small_batch).write.mode("overwrite").parquet(path)
+    fiscal_outcomes(t, bills, small_batch, postings).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def fiscal_gate(t, bills: DataFrame | None = None, small_batch: bool = False,
-                outcomes_path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Batch form of the trigger: (outcomes, documents) for ``bills``."""
-    outcomes = stored_outcomes(t, bills, small_batch, outcomes_path)
-    return outcomes, fiscal_documents(t, outcomes, small_batch)
+                outcomes_path: str | None = None, postings: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Batch form of the trigger: (outcomes, documents) for ``bills``.
+    ``postings``: the bills' postings (``batch_postings``), when the caller caches them."""
+    outcomes = stored_outcomes(t, bills, small_batch, outcomes_path, postings)
+    return outcomes, fiscal_documents(t, outcomes, small_batch, postings)

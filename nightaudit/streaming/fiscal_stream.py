@@ -17,7 +17,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightaudit.plans.fiscal import fiscal_gate
+from nightaudit.plans.fiscal import batch_postings, fiscal_gate
 from nightaudit.session import ensure_checkpoint_dir
 from nightaudit.sources.schemas import HOTEL_SCHEMAS
 
@@ -32,12 +32,16 @@ def start_fiscal_stream(spark: SparkSession, t, source_dir: str, sink_dir: str,
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
+        # the batch's postings are read once and shared by the rule counts, items and payments;
+        # bounded by the batch (maxFilesPerTrigger), recomputable if an executor is lost
+        postings = batch_postings(t, batch).persist()
         try:
             # outcomes are written to the sink first; documents start from them
-            _, documents = fiscal_gate(t, batch, small_batch=True,
+            _, documents = fiscal_gate(t, batch, small_batch=True, postings=postings,
                                        outcomes_path=os.path.join(sink_dir, "outcomes", f"batch_id={batch_id}"))
             documents.write.mode("overwrite").parquet(os.path.join(sink_dir, "outbox", f"batch_id={batch_id}"))
         finally:
+            postings.unpersist()
             batch.unpersist()
 
     writer = bills.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

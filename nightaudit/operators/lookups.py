@@ -11,11 +11,15 @@ side - the check costs no extra exchange of the big table.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nightaudit.session import ensure_checkpoint_dir
+
 # Dimensions of at most this many rows are broadcast (checked, see sized_broadcast);
 # larger ones are shuffle-joined. Override with the session conf below.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -44,6 +48,22 @@ def sized_broadcast(dim: DataFrame, max_rows: int | None = None, remember: bool
     return F.broadcast(dim) if small else dim
 
 
+def is_small(df: DataFrame) -> bool:
+    """True when ``df`` passes the broadcast size check (memoized per plan)."""
+    return sized_broadcast(df) is not df
+
+
+def broadcast_if_bounded(df: DataFrame, bound_by: DataFrame, factor: int = 1) -> DataFrame:
+    """Broadcast a derived table whose row count is at most ``factor`` times the
+    rows of a stored table ``bound_by`` (e.g. one row per key of that table),
+    when that bound is within the broadcast limit. The check counts the stored
+    table (memoized), never the derived one, so nothing is computed twice.
+    Beyond the bound the join shuffles."""
+    limit = int(df.sparkSession.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_ROWS)))
+    bounded = sized_broadcast(bound_by, max_rows=limit // factor) is not bound_by
+    return F.broadcast(df) if bounded else df
+
+
 def unique_on(dim: DataFrame, keys: Sequence[str], values: Sequence[str], what: str) -> DataFrame:
     """One row per key; raise if a key has several rows (Oracle: ORA-01427)."""
     keys = list(keys)
@@ -62,6 +82,17 @@ def _all_not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in a fresh folder under the shared
+    ``spark.checkpoint.dir`` and read it back: cuts the lineage of a small
+    intermediate that several later steps reuse, so it is computed once and a
+    lost executor does not recompute it."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"nightaudit-{label}", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def restrict_to(dim: DataFrame, fact: DataFrame, on: dict[str, str]) -> DataFrame:
     """Keep only the dim rows whose key the fact asks for (left semi join on the
     fact's distinct keys). Exact for per-key lookups and per-key aggregates;

@@ -17,17 +17,13 @@ Here all bills of a batch are processed at once:
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightaudit.functions.oracle import is_fractional, text_concat, to_char_int, to_char_money
 from nightaudit.operators.lists import ordered_text_list
-from nightaudit.operators.lookups import sized_broadcast, unique_on
+from nightaudit.operators.lookups import sized_broadcast, stored, unique_on
 from nightaudit.operators.revenue import calc_tax_percentage, child_tax
-from nightaudit.session import ensure_checkpoint_dir
 
 FOLIO = ["resort", "resv_name_id", "folio_view"]
 
@@ -229,11 +225,11 @@ def stored_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False
     """``fiscal_outcomes`` computed once and written as a table (default: a fresh
     folder under the shared ``spark.checkpoint.dir``); the documents, which use
     the outcomes three times, then start from the stored table."""
-    spark = t["folio_tax"].sparkSession
+    outcomes = fiscal_outcomes(t, bills, small_batch, postings)
     if path is None:
-        path = os.path.join(ensure_checkpoint_dir(spark), "nightaudit-fiscal", uuid.uuid4().hex, "outcomes")
-    fiscal_outcomes(t, bills, small_batch, postings).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        return stored(outcomes, "fiscal-outcomes")
+    outcomes.write.mode("overwrite").parquet(path)
+    return outcomes.sparkSession.read.parquet(path)
 
 
 def fiscal_gate(t, bills: DataFrame | None = None, small_batch: bool = False,

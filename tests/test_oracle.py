@@ -45,3 +45,16 @@ def test_query_types_match_oracle(spark, duck_small, name):
     rel = duck_small.sql(ORACLE[name])
     duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in spark_types.items()} == duck_types
+
+
+@pytest.mark.parametrize("name", ["inhouse_today", "reservation_detail", "loyalty_statement", "fiscal_documents",
+                                  "guest_night_ledger", "asof_stay_rate"])
+def test_beyond_broadcast_bound_matches_oracle(spark, duck_small, name):
+    """With a tiny broadcast bound every size-checked dimension takes the shuffle
+    path and Q3 restricts its dimensions to the slice: the scale code paths."""
+    from nightaudit.operators.lookups import BROADCAST_CONF
+    spark.conf.set(BROADCAST_CONF, "500")
+    try:
+        assert compare(name, QUERIES[name](spark, SF_SMALL), ORACLE[name], duck_small)
+    finally:
+        spark.conf.unset(BROADCAST_CONF)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from nightaudit.functions.oracle import profile_name
 from nightaudit.operators.contacts import preferred_contact
 from nightaudit.operators.lists import bill_number_list
-from nightaudit.operators.lookups import departure_day, lookup
+from nightaudit.operators.lookups import broadcast_if_bounded, departure_day, lookup
 from nightaudit.operators.revenue import revenue_classes
 
 MONEY = "decimal(18,4)"
@@ -62,8 +62,9 @@ def loyalty_statement(t) -> DataFrame:
     rows = (stay_bill_revenue(t)
             .join(rn, ["resort", "original_resv_name_id"])
             .join(prof, "name_id")
-            .join(preferred_contact(t["name_phone"], t["name_document"]), "name_id", "left")
-            .join(dep, ["resort", "original_resv_name_id"], "left"))
+            .join(broadcast_if_bounded(preferred_contact(t["name_phone"], t["name_document"]), t["name"]),
+                  "name_id", "left")
+            .join(broadcast_if_bounded(dep, t["reservation_name"]), ["resort", "original_resv_name_id"], "left"))
     # A1: GROUP BY the 16 stay columns + bill_no
     a1 = rows.groupBy(*STAY_KEYS, "bill_no").agg(
         F.sum("s_room").alias("r_room"), F.sum("s_puan").alias("r_puan"), F.sum("s_pck").alias("r_pck"),

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -442,6 +443,9 @@ def _fanout(df: DataFrame, name: str, upto) -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), upto_col)))
 
 
+# storage format version of the materialized tables (part of the derivation key)
+STORAGE_LAYOUT = 2
+
 # storage layout of the fact-sized tables when materialized
 FACT_LAYOUT = {
     "reservation_name": ["resort", "resv_name_id"],
@@ -493,13 +497,11 @@ class HotelTables:
         return self._cache[name]
 
     def _stored(self, name: str, builder: Callable[[], DataFrame]) -> DataFrame:
-        root = os.path.join(ensure_checkpoint_dir(self.spark), "nightaudit-hotel", _derivation_key(self.sf_dir))
-        path = os.path.join(root, name)
-        try:
-            # reuse only a complete write: the committer creates _SUCCESS last
-            self.spark.read.text(os.path.join(path, "_SUCCESS"))
-            return self.spark.read.parquet(path)
-        except AnalysisException:
+        base = os.path.join(ensure_checkpoint_dir(self.spark), "nightaudit-hotel", _derivation_key(self.sf_dir),
+                            name)
+        done = self._complete_copy(base)
+        if done is None:
+            # each writer writes its own copy, so concurrent runs never clobber each other
             df = builder()
             keys = FACT_LAYOUT.get(name)
             if keys:
@@ -508,8 +510,21 @@ class HotelTables:
                 n = int(self.spark.conf.get("nightaudit.materialize.partitions", "0")) \
                     or 2 * self.spark.sparkContext.defaultParallelism
                 df = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            df.write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
+            copy = uuid.uuid4().hex
+            df.write.parquet(os.path.join(base, copy))
+            # completion marker, written only after the copy's write has committed
+            (self.spark.createDataFrame([(copy,)], "copy string").coalesce(1)
+             .write.json(os.path.join(base, f"done-{copy}")))
+            done = self._complete_copy(base)
+        return self.spark.read.parquet(done)
+
+    def _complete_copy(self, base: str) -> str | None:
+        """The first complete copy (smallest id among those with a marker)."""
+        try:
+            marks = self.spark.read.schema("copy string").json(os.path.join(base, "done-*")).collect()
+        except AnalysisException:
+            return None
+        return os.path.join(base, min(r.copy for r in marks)) if marks else None
 
     def _src(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)

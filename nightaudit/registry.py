@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightaudit.operators import flags, revenue
-from nightaudit.plans import ledger
+from nightaudit.operators import flags, lookups, revenue
+from nightaudit.operators.asof import stay_and_eur_rates
+from nightaudit.operators.contacts import preferred_contact
+from nightaudit.operators.lists import bill_number_list
+from nightaudit.plans import detail, fiscal, ledger, loyalty
 from nightaudit.sources.hotel import hotel_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,9 +70,6 @@ def q_daily_stay_revenue(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # reservation detail (Q2) family
 # ---------------------------------------------------------------------------
-from nightaudit.operators import lookups  # noqa: E402
-from nightaudit.operators.asof import stay_and_eur_rates  # noqa: E402
-from nightaudit.plans import detail  # noqa: E402
 
 NIGHT_KEYS = ["resort", "resv_name_id", "reservation_date"]
 
@@ -168,9 +168,6 @@ def q_profile_lookups(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # loyalty statement (Q1) family
 # ---------------------------------------------------------------------------
-from nightaudit.operators.contacts import preferred_contact  # noqa: E402
-from nightaudit.operators.lists import bill_number_list  # noqa: E402
-from nightaudit.plans import loyalty  # noqa: E402
 
 
 @register("loyalty_statement")
@@ -212,7 +209,6 @@ def q_preferred_contact(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # fiscal gate (Q7) family
 # ---------------------------------------------------------------------------
-from nightaudit.plans import fiscal  # noqa: E402
 
 FISCAL_KEYS = ["bill_no", "resort", "resv_name_id", "folio_view"]
 

@@ -112,3 +112,20 @@ def test_asof_matches_brute_force(spark):  # J11 vs the correlated subquery
     for _, night, cur in nights:
         want_rate = D(1) if cur == "TRY" else naive(night, cur)
         assert got[(night, cur)] == (q(want_rate), q(naive(night, "EUR"))), (night, cur)
+
+
+def test_stream_equals_batch_under_another_split(spark):  # Q7 / R1
+    from nightaudit.plans.fiscal import fiscal_outcomes
+    from nightaudit.streaming.fiscal_stream import fiscal_stream_outcomes
+    t = hotel_tables(spark, SF_SMALL)
+    keys = ["bill_no", "resort", "resv_name_id", "folio_view", "outcome"]
+    batch = fiscal_outcomes(t).select(*keys)
+    stream = fiscal_stream_outcomes(spark, t, files=3).select(*keys)
+    b = _rows(batch)
+    assert len(b) == t["folio_tax"].count()                      # exactly one outcome per bill
+    assert b == _rows(stream)
+
+
+def test_ledger_has_one_row_per_guest_night(spark):  # Q5: the grouped revenue join cannot fan out
+    t = hotel_tables(spark, SF_SMALL)
+    assert ledger.guest_night_ledger(t).count() == ledger.guest_nights(t).count()

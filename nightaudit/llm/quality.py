@@ -38,7 +38,7 @@ STEPS = 4
 MIN_GROUP = 60
 SHRINK_WORDS = 100
 #: Least standard deviation of each statistic, in its transformed unit.
-FLOOR = {"log_word_len": 0.08, "symbols": 0.06, "capitals": 0.06, "dup_lines": 0.15, "repeats": 0.12}
+FLOOR = {"log_word_len": 0.08, "symbols": 0.045, "capitals": 0.06, "dup_lines": 0.15, "repeats": 0.12}
 STATS = list(FLOOR)
 #: Rejected above this squared distance: chi-square with 5 degrees of freedom exceeds it once in a million.
 CUTOFF = 35.9

@@ -13,8 +13,11 @@ the bucket's largest component are paired with every member of another component
 a bucket goes unexamined unless it is joined already. The work of an open bucket grows with its members times those
 outside its largest component.
 
-Verification. The words of the documents that occur in candidate pairs are read again, and the 64-bit hashes of their
-full shingle sets are intersected in a join on the pairs. Components come from minimum labels with pointer jumping,
+Two exact bounds spare pairs there: sizes, and shingles that no other member of an open bucket has (a copy with many
+edits of its own can share too little with any other).
+
+Verification. The words of the documents that share a bucket are read once more, and the 64-bit hashes of their full
+shingle sets are intersected in a join on the pairs. Components come from minimum labels with pointer jumping,
 every round written to the shared folder; nothing about documents is collected to the driver.
 
 Defined results: a document without words or text has no shingles and is its own component; fewer words than five are
@@ -43,6 +46,8 @@ THRESHOLD_PERCENT = 85
 SKETCH_MOST = 45
 CHUNK = 2048
 CACHED_WORDS = 500_000
+#: Most document ids (8 bytes each) in a broadcast.
+BROADCAST_IDS = 2_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -161,11 +166,16 @@ def _open(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
     return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * THRESHOLD_PERCENT) & (differ <= SKETCH_MOST))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The links among ``pairs`` (stored): exact Jaccard on the full shingle sets of the documents they name."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").alias("node"), text_or_empty().alias("text")).join(nodes, "node", "left_semi")
-    sets = stored(texts.mapInArrow(_sets, "node long, shingles array<long>").distinct(), "near-dup-sets")
+def _shingle_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles), stored: the full sets of the documents that ``nodes`` (stored, distinct) names. The ids are
+    broadcast if they are at most ``BROADCAST_IDS``, which leaves the texts where they are."""
+    ids = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
+    texts = docs.select(F.col("doc_id").alias("node"), text_or_empty().alias("text")).join(ids, "node", "left_semi")
+    return stored(texts.mapInArrow(_sets, "node long, shingles array<long>"), "near-dup-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links among ``pairs``: exact Jaccard on the full shingle sets."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
@@ -207,10 +217,11 @@ def links_of(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]
         F.min(F.struct(F.xxhash64("node", "key"), "node")).alias("p"), F.count("*").alias("n")).filter("n > 1")
     pivots = stored(pivots.select("key", F.col("p.node").alias("pivot")), "near-dup-pivots")
     shared = stored(members.join(pivots, "key"), "near-dup-members")  # members of buckets that hold several
+    sets = _shingle_sets(stored(shared.select("node").distinct(), "near-dup-nodes"), docs)
     # A document that goes by several texts meets itself in no pair.
     to_pivot = shared.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
     first = stored(_pairs_left(to_pivot.distinct(), classes), "near-dup-pairs")
-    links = stored(_verified(first, docs), "near-dup-links")
+    links = stored(_verified(first, sets), "near-dup-links")
     labels = components(links)
 
     # Buckets that still hold several components: members outside the largest one meet all members of another one.
@@ -218,18 +229,28 @@ def links_of(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]
     per = named.groupBy("key", "label").agg(F.count("*").alias("n"))
     several = stored(per.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
                      .filter("labels > 1").select("key", F.col("top.label").alias("main")), "near-dup-open")
-    facts = classes.select("node", "n_shingles", "sketch")
-    inside = stored(named.join(several, "key").join(facts, "node"), "near-dup-open-members")
-    x = inside.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n_shingles", "sketch")])
-    y = inside.select("key", "main", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", "n_shingles", "sketch")])
-    meet = x.join(y, "key").filter((F.col("x_label") != F.col("y_label"))
-                                   & ((F.col("y_label") == F.col("main")) | (F.col("x_node") < F.col("y_node")))
-                                   & _open("x_n_shingles", "y_n_shingles", "x_sketch", "y_sketch"))
+    inside = stored(named.join(several, "key"), "near-dup-open-members")
+    nodes = inside.select("node").distinct()
+    # Shingles that no other document of an open bucket has bound what a pair of them can share.
+    lone = (sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("s")).distinct()
+            .groupBy("s").agg(F.min("node").alias("node"), F.count("*").alias("n")).filter("n = 1")
+            .groupBy("node").agg(F.count("*").alias("lone")))
+    facts = stored(classes.select("node", "n_shingles", "sketch").join(nodes, "node", "left_semi").join(lone, "node", "left").select(
+        "node", "n_shingles", (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("common"), "sketch"), "near-dup-facts")
+    inside = inside.join(facts, "node")
+    columns = ("node", "label", "n_shingles", "common", "sketch")
+    x = inside.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in columns])
+    y = inside.select("key", "main", *[F.col(c).alias(f"y_{c}") for c in columns])
+    most = F.least("x_common", "y_common")
+    meet = x.join(y, "key").filter(
+        (F.col("x_label") != F.col("y_label")) & ((F.col("y_label") == F.col("main")) | (F.col("x_node") < F.col("y_node")))
+        & (most * 100 >= (F.col("x_n_shingles") + F.col("y_n_shingles") - most) * THRESHOLD_PERCENT)
+        & _open("x_n_shingles", "y_n_shingles", "x_sketch", "y_sketch"))
     second = meet.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     second = stored(second.join(first, ["a", "b"], "left_anti"), "near-dup-more-pairs")
     if second.isEmpty():
         return links, labels
-    links = stored(links.union(_verified(second, docs)), "near-dup-all-links")
+    links = stored(links.union(_verified(second, sets)), "near-dup-all-links")
     return links, components(links)
 
 

@@ -3,8 +3,8 @@
 Signature. Two permutations give all ``COORDINATES`` coordinates: the first (sigma) breaks up the order of a shingle's
 32-bit place, the second (pi), shifted round the circle by k, gives coordinate k as the minimum of pi(sigma(x) + k)
 over the set. ``BANDS`` bands of ``ROWS`` coordinates make the bucket keys; a pair at Jaccard 0.85 shares no bucket
-with probability (1 - 0.85^8)^32 = 4e-5, and less if it is joined over other documents too. One bit of each coordinate
-makes a sketch that spares hopeless pairs the exact check (at 0.85 it errs once in 1e8).
+with probability (1 - 0.85^8)^32 = 4e-5, and less if it is joined over other documents too. Four bits of each
+coordinate make a sketch that spares hopeless pairs the exact check (at 0.85 it errs once in 1e8).
 
 Candidates. Equal sets are one class, named by its smallest doc_id, so copies cost one row. In each bucket all classes
 are paired with one of them, the pivot, which differs from band to band. Verified pairs are links; connected components
@@ -13,8 +13,8 @@ the bucket's largest component are paired with every member of another component
 a bucket goes unexamined unless it is joined already. The work of an open bucket grows with its members times those
 outside its largest component.
 
-Two exact bounds spare pairs there: sizes, and shingles that no other member of an open bucket has (a copy with many
-edits of its own can share too little with any other).
+Two exact bounds spare pairs there: sizes, and shingles that occur in one component only (a copy with many edits of
+its own can share too little with any other). A pair that shares several buckets is taken in one of them.
 
 Verification. The words of the documents that share a bucket are read once more, and the 64-bit hashes of their full
 shingle sets are intersected in a join on the pairs. Components come from minimum labels with pointer jumping,
@@ -42,8 +42,9 @@ COORDINATES = 256
 ROWS = 8
 BANDS = COORDINATES // ROWS
 THRESHOLD_PERCENT = 85
-#: Of the sketch's bits, at most so many differ in a pair at the threshold (mean 19, standard deviation 4).
-SKETCH_MOST = 45
+#: The sketch has four bits of each coordinate. In a pair at the threshold 36 coordinates differ in the mean, with a
+#: standard deviation of 5.6; more than so many differ once in a hundred million pairs.
+SKETCH_MOST = 68
 CHUNK = 2048
 CACHED_WORDS = 500_000
 #: Most document ids (8 bytes each) in a broadcast.
@@ -118,7 +119,8 @@ def _keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _sketches(sig: np.ndarray) -> np.ndarray:
-    return np.packbits((sig >> np.uint32(3)).astype(np.uint8) & 1, axis=1).view(np.int64)
+    four = ((sig >> np.uint32(3)) & np.uint32(15)).astype(np.uint8)
+    return np.ascontiguousarray(four[:, ::2] | (four[:, 1::2] << 4)).view(np.int64)
 
 
 def _lists(a: np.ndarray) -> pa.Array:
@@ -161,8 +163,12 @@ def _pairs_left(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _open(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
-    differ = sum((F.bit_count(F.get(s_a, F.lit(i)).bitwiseXOR(F.get(s_b, F.lit(i))))
-                  for i in range(COORDINATES // 64)), F.lit(0))
+    differ = F.lit(0)
+    for i in range(COORDINATES // 16):
+        v = F.get(s_a, F.lit(i)).bitwiseXOR(F.get(s_b, F.lit(i)))
+        v = v.bitwiseOR(F.shiftrightunsigned(v, 1))
+        v = v.bitwiseOR(F.shiftrightunsigned(v, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        differ = differ + F.bit_count(v)
     return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * THRESHOLD_PERCENT) & (differ <= SKETCH_MOST))
 
 
@@ -230,22 +236,23 @@ def links_of(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]
     several = stored(per.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
                      .filter("labels > 1").select("key", F.col("top.label").alias("main")), "near-dup-open")
     inside = stored(named.join(several, "key"), "near-dup-open-members")
-    nodes = inside.select("node").distinct()
-    # Shingles that no other document of an open bucket has bound what a pair of them can share.
-    lone = (sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("s")).distinct()
-            .groupBy("s").agg(F.min("node").alias("node"), F.count("*").alias("n")).filter("n = 1")
-            .groupBy("node").agg(F.count("*").alias("lone")))
-    facts = stored(classes.select("node", "n_shingles", "sketch").join(nodes, "node", "left_semi").join(lone, "node", "left").select(
-        "node", "n_shingles", (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("common"), "sketch"), "near-dup-facts")
+    nodes = inside.select("node", "label").distinct()
+    # Shingles of one component only bound what its documents can share with those of another one.
+    tokens = sets.join(nodes, "node").select("node", "label", F.explode("shingles").alias("s"))
+    across = tokens.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("s")
+    common = tokens.select("node", "s").join(across, "s", "left_semi").groupBy("node").agg(F.count("*").alias("common"))
+    facts = stored(classes.select("node", "n_shingles", "sketch", "bands").join(nodes, "node", "left_semi").join(
+        common, "node", "left").withColumn("common", F.coalesce("common", F.lit(0))), "near-dup-facts")
     inside = inside.join(facts, "node")
-    columns = ("node", "label", "n_shingles", "common", "sketch")
+    columns = ("node", "label", "n_shingles", "common", "sketch", "bands")
     x = inside.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in columns])
     y = inside.select("key", "main", *[F.col(c).alias(f"y_{c}") for c in columns])
     most = F.least("x_common", "y_common")
     meet = x.join(y, "key").filter(
         (F.col("x_label") != F.col("y_label")) & ((F.col("y_label") == F.col("main")) | (F.col("x_node") < F.col("y_node")))
         & (most * 100 >= (F.col("x_n_shingles") + F.col("y_n_shingles") - most) * THRESHOLD_PERCENT)
-        & _open("x_n_shingles", "y_n_shingles", "x_sketch", "y_sketch"))
+        & _open("x_n_shingles", "y_n_shingles", "x_sketch", "y_sketch")
+        & (F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("key")))
     second = meet.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     second = stored(second.join(first, ["a", "b"], "left_anti"), "near-dup-more-pairs")
     if second.isEmpty():

@@ -43,10 +43,6 @@ def yn(cond: Column) -> Column:
     return F.when(cond, F.lit("Y")).otherwise(F.lit("N"))
 
 
-def nvl0(c) -> Column:
-    return F.coalesce(col(c), F.lit(0))
-
-
 def to_char_int(c) -> Column:
     """``TO_CHAR(n, '990')`` with blanks removed: rounded integer with sign."""
     return F.round(col(c), 0).cast("int").cast("string")
@@ -62,10 +58,6 @@ def is_fractional(c) -> Column:
     return (col(c) % 1) != 0
 
 
-def money(c, scale: int = 4) -> Column:
-    return col(c).cast(T.DecimalType(18, scale))
-
-
 def blank_to_null(df: DataFrame) -> DataFrame:
     """Normalise '' to NULL in every string column (Oracle reads them as NULL)."""
     return df.select([

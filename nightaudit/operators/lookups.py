@@ -2,11 +2,14 @@
 
 A correlated ``(SELECT x FROM dim WHERE dim.k = outer.k)`` returns NULL when
 no row matches and raises when more than one does. A plain left join would
-silently fan out instead, so every lookup goes through ``unique_on``: the dim
-is grouped by its key (NULL keys dropped - they never match), and any key
-with more than one row raises at run time. The grouped dim is already
-hash-partitioned by the key, so the following join only shuffles the fact
-side - the check costs no extra exchange of the big table.
+silently fan out instead, so ``lookup`` groups the dim by its key, carries the
+number of rows through the join and raises on a joined row that uses the value
+of a key with several. A duplicate that no row asks for does no harm, whatever
+the sizes. Building a lookup starts no job.
+
+Rows with a NULL key match nothing; they are spread over all tasks instead of
+meeting in one (``join_per_key``), and both sides of a shuffled lookup come
+straight from an exchange, so AQE can split a hot key.
 """
 
 from __future__ import annotations
@@ -20,48 +23,41 @@ from pyspark.sql import functions as F
 
 from nightaudit.session import ensure_checkpoint_dir
 
-# Dimensions of at most this many rows are broadcast (checked, see sized_broadcast);
-# larger ones are shuffle-joined. Override with the session conf below.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_CONF = "nightaudit.broadcast.maxRows"
+# Tables whose plan statistics (file sizes of what is read) stay within these bytes are broadcast;
+# for others AQE decides from the shuffle it has measured. Override with the session conf below.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+BROADCAST_CONF = "nightaudit.broadcast.maxBytes"
 
-_size_checked: dict[tuple[int, int], bool] = {}
 
+def sized_broadcast(dim: DataFrame) -> DataFrame:
+    """Broadcast ``dim`` if the optimizer's size estimate, an upper bound from the sizes of the files it reads, is
+    within the limit. No job is run and nothing is remembered; a table that has grown is judged anew."""
+    limit = int(dim.sparkSession.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_BYTES)))
+    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(dim) if size <= limit else dim
 
-def sized_broadcast(dim: DataFrame, max_rows: int | None = None, remember: bool = True) -> DataFrame:
-    """Broadcast ``dim`` only if it provably holds at most ``max_rows`` rows.
 
-    The check is ``dim.limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so it is cheap for any size. Beyond the bound the dim is
-    returned as is and joins shuffle (AQE may still switch strategy at run
-    time). Results are remembered per logical plan (``semanticHash``) unless
-    ``remember`` is off (e.g. for a streaming micro-batch).
-    """
-    if max_rows is None:
-        max_rows = int(dim.sparkSession.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_ROWS)))
-    key = (dim.semanticHash(), max_rows)
-    small = _size_checked.get(key) if remember else None
-    if small is None:
-        small = dim.limit(max_rows + 1).count() <= max_rows
-        if remember:
-            _size_checked[key] = small
-    return F.broadcast(dim) if small else dim
-
-
-def is_small(df: DataFrame) -> bool:
-    """True when ``df`` passes the broadcast size check (memoized per plan)."""
-    return sized_broadcast(df) is not df
+def rows_per_key(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """One row per non-NULL key: the keys, ``_n`` (its rows) and the values."""
+    return dim.where(_all_not_null(keys)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.max(v).alias(v) for v in values])
 
 
-def broadcast_if_bounded(df: DataFrame, bound_by: DataFrame, factor: int = 1) -> DataFrame:
-    """Broadcast a derived table whose row count is at most ``factor`` times the
-    rows of a stored table ``bound_by`` (e.g. one row per key of that table),
-    when that bound is within the broadcast limit. The check counts the stored
-    table (memoized), never the derived one, so nothing is computed twice.
-    Beyond the bound the join shuffles."""
-    limit = int(df.sparkSession.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_ROWS)))
-    bounded = sized_broadcast(bound_by, max_rows=limit // factor) is not bound_by
-    return F.broadcast(df) if bounded else df
+def join_per_key(fact: DataFrame, per_key: DataFrame, on: dict[str, str], count: str) -> DataFrame:
+    """Left join to a table with one row per key (``on``: fact column -> its column; ``count``: a column of it that is
+    1 or more). A second key, 0 for every row that can match and a hash of the row where the key is NULL, spreads the
+    rows that match nothing."""
+    spread = [c for c in fact.columns if c not in on][:8]
+    null_key = F.lit(False)
+    for k in on:
+        null_key = null_key | fact[k].isNull()
+    f = fact.withColumn("_spread", F.when(null_key, F.pmod(F.xxhash64(*spread), F.lit(4096)) + 1).otherwise(
+        F.lit(0).cast("long")) if spread else F.lit(0).cast("long"))
+    d = per_key.withColumn("_zero", F.least(F.col(count), F.lit(0).cast("long")))
+    cond = f["_spread"] == d["_zero"]
+    for fk, dk in on.items():
+        cond = cond & (f[fk] == d[dk])
+    return f.join(d, cond, "left").drop("_spread", "_zero")
 
 
 def unique_on(dim: DataFrame, keys: Sequence[str], values: Sequence[str], what: str) -> DataFrame:
@@ -102,31 +98,31 @@ def restrict_to(dim: DataFrame, fact: DataFrame, on: dict[str, str]) -> DataFram
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], values: dict[str, str], what: str,
-           broadcast: bool = True, checked: bool = False, narrow: bool = False) -> DataFrame:
+           when: Column | None = None, narrow: bool = False) -> DataFrame:
     """Left-join single-row lookup.
 
     ``on`` maps fact column -> dim column, ``values`` maps dim column -> output
-    name. The key-checked dim is broadcast when its row count is within the
-    bound (``sized_broadcast``), else shuffle-joined. ``checked``: ``dim`` is
-    already unique on the keys (from ``unique_on``). ``narrow``: the fact is a
-    small slice - restrict the dim to its keys first (``restrict_to``), so only
-    the rows asked for are key-checked.
+    name. ``when``: the rows that evaluate the subquery; others get NULL and
+    raise nothing. ``narrow``: the fact is a small slice - the dim is first
+    restricted to its keys (``restrict_to``), which changes no answer and no
+    error, as only joined rows raise.
     """
-    dim_keys = list(on.values())
-    tmp = {k: f"_lk_{what}_{i}" for i, k in enumerate(dim_keys)}
+    keys = list(on.values())
+    tmp = {k: f"_lk_{i}" for i, k in enumerate(keys)}
+    out = {v: f"_lv_{i}" for i, v in enumerate(values)}
     if narrow:
         dim = restrict_to(dim, fact, on)
-        broadcast = False  # size unknown before run time: AQE decides from the measured shuffle
-    d = dim if checked else unique_on(dim, dim_keys, list(values), what)
-    d = d.select(*[F.col(k).alias(tmp[k]) for k in dim_keys],
-                 *[F.col(v).alias(out) for v, out in values.items()])
-    if broadcast:
+    d = rows_per_key(dim, keys, list(values)).select(
+        *[F.col(k).alias(tmp[k]) for k in keys], *[F.col(v).alias(out[v]) for v in values], F.col("_n").alias("_lk_n"))
+    if not narrow:  # a slice's keys have no size before run time: AQE decides
         d = sized_broadcast(d)
-    cond = None
-    for fk, dk in on.items():
-        c = fact[fk] == d[tmp[dk]]
-        cond = c if cond is None else cond & c
-    return fact.join(d, cond, "left").drop(*tmp.values())
+    joined = join_per_key(fact, d, {fk: tmp[dk] for fk, dk in on.items()}, "_lk_n")
+    err = F.raise_error(F.concat(F.lit(f"single-row lookup on {what} returned more than one row for key "),
+                                 F.to_json(F.struct(*[F.col(fk) for fk in on]))))
+    for v, name in values.items():
+        one = F.when(F.col("_lk_n") > 1, err).otherwise(F.col(out[v]))
+        joined = joined.withColumn(name, one if when is None else F.when(when, one))
+    return joined.drop(*tmp.values(), *out.values(), "_lk_n")
 
 
 def first_account_code(ar_account: DataFrame, ppor_ar: DataFrame) -> DataFrame:

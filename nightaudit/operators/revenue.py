@@ -15,16 +15,18 @@ def tax_codes(trx_codes: DataFrame) -> DataFrame:
     return trx_codes.where(F.col("trx_code_type") == "X").select("resort", "trx_code")
 
 
-def child_tax(ft: DataFrame, trx_codes: DataFrame) -> DataFrame:
+def child_tax(ft: DataFrame, trx_codes: DataFrame, parents: DataFrame | None = None) -> DataFrame:
     """Per parent posting, the sum of its generated tax children.
 
     ``SUM(NVL(net,0))`` over children ``trx_no_added_by = trx_no`` whose code is
     a tax code (EXISTS -> left semi join). Children are not limited by date or
     resort. Output (trx_no, child_tax); postings without tax children are
-    absent (the scalar SUM would be NULL).
+    absent (the scalar SUM would be NULL). ``parents`` (trx_no): only theirs.
     """
     kids = ft.where(F.col("trx_no_added_by").isNotNull()).select(
         "resort", "trx_code", "trx_no_added_by", "net_amount")
+    if parents is not None:
+        kids = kids.join(parents.select(F.col("trx_no").alias("trx_no_added_by")).distinct(), "trx_no_added_by", "left_semi")
     kids = kids.join(sized_broadcast(tax_codes(trx_codes)), ["resort", "trx_code"], "left_semi")
     return kids.groupBy(F.col("trx_no_added_by").alias("trx_no")).agg(
         F.sum(F.coalesce(F.col("net_amount"), F.lit(0))).cast(MONEY).alias("child_tax"))
@@ -32,7 +34,7 @@ def child_tax(ft: DataFrame, trx_codes: DataFrame) -> DataFrame:
 
 def ledger_detail(ft: DataFrame, trx_codes: DataFrame, resort: str | None = None,
                   d_from=None, d_to=None) -> DataFrame:
-    """A5 (po2202 ``detail``): charge postings with net room / net package / tax.
+    """A5 (ledger detail): charge postings with net room / net package / tax.
 
     Filters: ``ft_subtype='C'``, ``display_yn <> 'N'`` (drops NULL), ``NVL(invoice_type,'@') <> 'CR'``,
     code not of type 'X' (NULL type dropped), optional resort and date range.
@@ -53,7 +55,8 @@ def ledger_detail(ft: DataFrame, trx_codes: DataFrame, resort: str | None = None
                 .select("trx_no", "resort", "trx_code", "trx_date", "resv_name_id", "original_resv_name_id",
                         "net_amount", "gross_amount", "tax_inclusive_yn", "trx_no_against_package")
                 .join(codes, ["resort", "trx_code"]))
-    with_tax = postings.join(child_tax(ft, trx_codes), "trx_no", "left")
+    bounded = resort is not None or d_from is not None or d_to is not None
+    with_tax = postings.join(child_tax(ft, trx_codes, postings if bounded else None), "trx_no", "left")
     ctype = F.col("trx_code_type")
     net = F.col("net_amount")
     return with_tax.select(
@@ -68,7 +71,7 @@ def ledger_detail(ft: DataFrame, trx_codes: DataFrame, resort: str | None = None
 
 
 def daily_stay_revenue(detail: DataFrame) -> DataFrame:
-    """A6 (po2202 ``qry``): per (org_resv_id, trx_date) gross and net room / package.
+    """A6 (daily revenue): per (org_resv_id, trx_date) gross and net room / package.
 
     Gross adds the tax only where the net part is non-zero; a NULL tax makes
     that posting's term NULL, which SUM skips (S3) - kept on purpose.

@@ -35,10 +35,6 @@ MSG_RULE4 = "RuleErr(4): You cannot use positive posting in the return invoice."
 MSG_RULE5 = "RuleErr(5): The total amount must be an integer. Users must rebate decimal numbers."
 MSG_TERMINAL = "terminal not found or not unique"
 
-OUTCOMES = ["PASS_ZERO", "PASS_RULE6", "REJECT_RULE4", "REJECT_RULE5", "REJECT_TERMINAL", "SEND",
-            "PASS_NO_DEVICE", "REJECT_RULE3", "PASS_NO_CASH"]
-
-
 def _deposit_codes(t) -> DataFrame:
     """U3 ``ppf.get_param(resort, 'DEPOSIT_LED_TRX_CODE')`` as a (resort, deposit_code) table."""
     p = t["params"].where(F.col("param") == DEPOSIT_PARAM)
@@ -61,8 +57,8 @@ def _postings(t, bills: DataFrame | None = None, small_batch: bool = False) -> D
         "tax_inclusive_yn", "arrangement_id", "guest_account_credit", "guest_account_debit")
     if bills is not None:
         folios = bills.select(*FOLIO).distinct()
-        if small_batch:
-            folios = sized_broadcast(folios, remember=False)
+        if small_batch:  # at most one row per bill of the batch
+            folios = sized_broadcast(folios)
         ft = ft.join(folios, FOLIO, "left_semi")
     return (ft.join(codes, ["resort", "trx_code"])
             .join(sized_broadcast(_deposit_codes(t)), "resort", "left"))
@@ -79,7 +75,8 @@ def _per_bill(bills: DataFrame, rows: DataFrame, group: list[str], sums: dict[st
     aggs = [F.sum(src).alias(out) for out, src in sums.items()]
     billed = rows.where(F.col("bill_no").isNotNull()).groupBy(*FOLIO, "bill_no", *group).agg(*aggs)
     loose = rows.where(F.col("bill_no").isNull()).groupBy(*FOLIO, *group).agg(*aggs)
-    b = bills.where(F.col("bill_no").isNotNull()).select(*FOLIO, "bill_no")
+    # a bill may come twice in a batch; its postings count once
+    b = bills.where(F.col("bill_no").isNotNull()).select(*FOLIO, "bill_no").distinct()
     from_billed = billed.join(b, [*FOLIO, "bill_no"], "left_semi")
     from_loose = loose.join(b, FOLIO).select(*FOLIO, "bill_no", *group, *sums)
     return (from_billed.unionByName(from_loose)
@@ -96,9 +93,10 @@ def _restricted(p: DataFrame, bills: DataFrame) -> DataFrame:
     return p.join(bills.select(*FOLIO).distinct(), FOLIO, "left_semi")
 
 
-def rule_counts(t, bills: DataFrame, small_batch: bool = False, postings: DataFrame | None = None) -> DataFrame:
+def rule_counts(t, bills: DataFrame, small_batch: bool = False, postings: DataFrame | None = None,
+                only_their_folios: bool = True) -> DataFrame:
     """Per bill, the rule-6 payment count and the positive-posting count."""
-    p = postings if postings is not None else _postings(t, bills if small_batch else None, small_batch)
+    p = postings if postings is not None else _postings(t, bills if only_their_folios else None, small_batch)
     mpay = ((F.col("trx_no_added_by").isNull() & (F.col("ft_subtype") == "FC")
              & (F.col("deposit_code") != F.col("trx_code")) & (F.col("ind_billing") == "N")))
     ppost = (F.col("gross_amount") > 0) & (F.coalesce(F.col("trx_code_type"), F.lit("@")) != "X")
@@ -116,8 +114,9 @@ def _terminals(t) -> DataFrame:
 def fiscal_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False,
                     postings: DataFrame | None = None) -> DataFrame:
     """One outcome per bill: (bill_no, resort, resv_name_id, folio_view, outcome, message, url)."""
-    bills = t["folio_tax"] if bills is None else bills
-    counts = rule_counts(t, bills, small_batch, postings)
+    every = bills is None
+    bills = t["folio_tax"] if every else bills
+    counts = rule_counts(t, bills, small_batch, postings, only_their_folios=not every)
     b = (bills.join(counts, [*FOLIO, "bill_no"], "left")
          .join(sized_broadcast(_terminals(t)), F.col("terminal") == F.col("station_id"), "left"))
     total = F.coalesce(F.col("total_gross"), F.lit(0))
@@ -158,7 +157,8 @@ def fiscal_items(t, bills: DataFrame, only_their_folios: bool = False, small_bat
     rows = (p.where((F.col("gross_amount") != 0) & (F.coalesce(F.col("trx_code_type"), F.lit("@")) != "X"))
             .join(arr, ["resort", "arrangement_id"], "left")
             .join(tr, ["resort", "arrangement_id"], "left")
-            .join(child_tax(t["financial_transactions"], t["trx_codes"]), "trx_no", "left")
+            .join(child_tax(t["financial_transactions"], t["trx_codes"],
+                            p if postings is not None or only_their_folios else None), "trx_no", "left")
             .select(*FOLIO, "bill_no",
                     F.coalesce(F.col("arrangement_code"), F.col("trx_code")).alias("item_code"),
                     F.coalesce(F.col("_tr_desc"), F.col("description")).alias("item_name"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from nightaudit.functions.oracle import profile_name
 from nightaudit.operators.contacts import preferred_contact
 from nightaudit.operators.lists import bill_number_list
-from nightaudit.operators.lookups import broadcast_if_bounded, departure_day, lookup
+from nightaudit.operators.lookups import departure_day, lookup
 from nightaudit.operators.revenue import revenue_classes
 
 MONEY = "decimal(18,4)"
@@ -41,10 +41,10 @@ def stay_bill_revenue(t) -> DataFrame:
         F.sum(total).alias("s_total"))
 
 
-def departure_names(t) -> DataFrame:
-    """J12g + U6: (resort, resv_name_id, travel_agent, company, group_name, adults)."""
+def departure_names(t, rn: DataFrame | None = None) -> DataFrame:
+    """J12g + U6, for all reservations or those of ``rn``: (resort, resv_name_id, travel_agent, company, group_name, adults)."""
     dep = departure_day(t["reservation_daily_element_name"], t["reservation_daily_elements"],
-                        t["reservation_name"])
+                        t["reservation_name"] if rn is None else rn)
     display = t["name"].select("name_id", profile_name().alias("display"))
     dep = lookup(dep, display, {"travel_agent_id": "name_id"}, {"display": "travel_agent"}, "agent profile")
     dep = lookup(dep, display, {"company_id": "name_id"}, {"display": "company"}, "company profile")
@@ -58,13 +58,12 @@ def loyalty_statement(t) -> DataFrame:
         F.col("trunc_begin_date").alias("checkin"), F.col("trunc_end_date").alias("checkout"),
         F.datediff(F.col("trunc_end_date"), F.col("trunc_begin_date")).alias("nights"))
     prof = t["name"].select("name_id", "title", "last", "first")
-    dep = departure_names(t).withColumnRenamed("resv_name_id", "original_resv_name_id")
+    dep = departure_names(t, t["reservation_name"].where(F.col("resv_status") == "CHECKED OUT")).withColumnRenamed("resv_name_id", "original_resv_name_id")
     rows = (stay_bill_revenue(t)
             .join(rn, ["resort", "original_resv_name_id"])
             .join(prof, "name_id")
-            .join(broadcast_if_bounded(preferred_contact(t["name_phone"], t["name_document"]), t["name"]),
-                  "name_id", "left")
-            .join(broadcast_if_bounded(dep, t["reservation_name"]), ["resort", "original_resv_name_id"], "left"))
+            .join(preferred_contact(t["name_phone"], t["name_document"]), "name_id", "left")
+            .join(dep, ["resort", "original_resv_name_id"], "left"))
     # A1: GROUP BY the 16 stay columns + bill_no
     a1 = rows.groupBy(*STAY_KEYS, "bill_no").agg(
         F.sum("s_room").alias("r_room"), F.sum("s_puan").alias("r_puan"), F.sum("s_pck").alias("r_pck"),

@@ -17,14 +17,17 @@ SCALE_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "nightaudit") -> SparkSession:
+def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "nightaudit") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     builder = (builder.config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("NIGHTAUDIT_DRIVER_MEMORY", "16g")))
+    if shuffle_partitions is None and (master or "").startswith("local"):
+        shuffle_partitions = 8  # a cluster's own setting holds elsewhere
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -37,10 +40,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a scratch folder is created and set.
+    when it is unset and the master is local (tests) a scratch folder is created
+    and set; executors elsewhere could not see one, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         path = tempfile.mkdtemp(prefix="nightaudit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -59,3 +59,7 @@ class HotelParquet:
         if name not in self._cache:
             self._cache[name] = read_hotel_table(self.spark, self.root, name)
         return self._cache[name]
+
+    def reopened(self) -> "HotelParquet":
+        """The same tables with their files listed anew."""
+        return HotelParquet(self.spark, self.root)

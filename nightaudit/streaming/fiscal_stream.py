@@ -6,8 +6,9 @@ all the batch's bills with the postings - and its outcomes and outgoing
 documents are written to ``<sink>/outcomes/batch_id=N`` and
 ``<sink>/outbox/batch_id=N`` with overwrite. A replayed batch (after a
 failure, the checkpoint re-runs the last uncommitted batch) rewrites the
-same folders, so the sink is exactly-once. The postings side is read again
-for each batch: like the trigger, a bill sees what is stored when it arrives.
+same folders, so the sink is exactly-once. The stored tables are opened anew
+for each batch (a DataFrame lists its files once): like the trigger, a bill
+sees what is stored when it arrives.
 """
 
 from __future__ import annotations
@@ -26,18 +27,20 @@ BILL_SCHEMA = HOTEL_SCHEMAS["folio_tax"]
 
 def start_fiscal_stream(spark: SparkSession, t, source_dir: str, sink_dir: str, checkpoint: str,
                         max_files_per_trigger: int = 1, available_now: bool = True):
-    """Start the stream; returns the StreamingQuery."""
+    """Start the stream; returns the StreamingQuery. ``t``: the tables, or a function that opens them; tables with a
+    ``reopened`` method are opened anew for every batch."""
     bills = (spark.readStream.schema(BILL_SCHEMA)
              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        tables = t() if callable(t) else t.reopened() if hasattr(t, "reopened") else t
         batch = batch.persist()
         # the batch's postings are read once and shared by the rule counts, items and payments;
         # bounded by the batch (maxFilesPerTrigger), recomputable if an executor is lost
-        postings = batch_postings(t, batch).persist()
+        postings = batch_postings(tables, batch).persist()
         try:
             # outcomes are written to the sink first; documents start from them
-            _, documents = fiscal_gate(t, batch, small_batch=True, postings=postings,
+            _, documents = fiscal_gate(tables, batch, small_batch=True, postings=postings,
                                        outcomes_path=os.path.join(sink_dir, "outcomes", f"batch_id={batch_id}"))
             documents.write.mode("overwrite").parquet(os.path.join(sink_dir, "outbox", f"batch_id={batch_id}"))
         finally:

@@ -53,7 +53,7 @@ def test_beyond_broadcast_bound_matches_oracle(spark, duck_small, name):
     """With a tiny broadcast bound every size-checked dimension takes the shuffle
     path and Q3 restricts its dimensions to the slice: the scale code paths."""
     from nightaudit.operators.lookups import BROADCAST_CONF
-    spark.conf.set(BROADCAST_CONF, "500")
+    spark.conf.set(BROADCAST_CONF, "0")
     try:
         assert compare(name, QUERIES[name](spark, SF_SMALL), ORACLE[name], duck_small)
     finally:

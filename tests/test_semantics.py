@@ -146,6 +146,12 @@ def test_lookup_raises_on_duplicate_key(spark):  # S8
     dim = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c")], "k int, v string")
     with pytest.raises(Exception, match="more than one row"):
         lookup(fact, dim, {"k": "k"}, {"v": "v"}, "dim").collect()
+    # a duplicate that no row asks for, or that a row does not evaluate, does no harm
+    asked = spark.createDataFrame([(3,), (None,)], "k int")
+    got = lookup(asked, dim, {"k": "k"}, {"v": "v"}, "dim").collect()
+    assert sorted((r.k or 0, r.v) for r in got if r.k) == [(3, "c")] and [r.v for r in got if r.k is None] == [None]
+    got = lookup(fact, dim, {"k": "k"}, {"v": "v"}, "dim", when=F.col("k") == 2).collect()
+    assert sorted(tuple(r) for r in got) == [(1, None), (2, None)]
     ok = unique_on(dim.where("v <> 'b'"), ["k"], ["v"], "dim")
     assert sorted(tuple(r) for r in ok.collect()) == [(1, "a"), (3, "c")]
 

@@ -27,7 +27,7 @@ HEAD = 8
 #: Most benchmark windows in one broadcast (some 200 bytes each).
 MAX_BROADCAST_WINDOWS = 1_000_000
 #: Key of the marker that gives each document one row of its own.
-MARKER = F.xxhash64(F.lit("one row for each document"))
+MARKER = "xxhash64('one row for each document')"
 
 
 def _words(col: str = "text") -> Column:
@@ -56,7 +56,7 @@ def _scan(docs: DataFrame, windows: DataFrame, lengths: list[int], longest: int,
                        _words().alias("words"))
     if blocks > 1:  # the row keys must be the same in every scan
         text = stored(text, "decontamination-words")
-    hashes = F.concat(*[f"g{k}" for k in lengths], F.array(MARKER))
+    hashes = F.concat(*[f"g{k}" for k in lengths], F.array(F.expr(MARKER)))
     rows = (ngram_hashes(text, "words", lengths, "g", fold=True)
             .select("doc_id", "text_key", "row_key", "words", F.size("words").alias("n_words"), hashes.alias("hashes"))
             # never empty; the outer form keeps the optimizer from computing all hashes once more to test for that
@@ -72,7 +72,7 @@ def _scan(docs: DataFrame, windows: DataFrame, lengths: list[int], longest: int,
         block = windows.filter(F.pmod(F.col("h"), F.lit(blocks)) == b) if blocks > 1 else windows
         if b == 0:
             block = block.unionByName(block.sparkSession.range(1).select(
-                MARKER.alias("h"), F.lit(0).alias("head"), F.lit(0).alias("k"), F.array().cast("array<string>").alias("w"),
+                F.expr(MARKER).alias("h"), F.lit(0).alias("head"), F.lit(0).alias("k"), F.array().cast("array<string>").alias("w"),
                 F.array().cast("array<string>").alias("items")))
         same = start > 0
         for i in range(longest):

@@ -5,12 +5,13 @@ import pytest
 
 import __spark_entry__ as E
 from nightaudit.oracle.hotel_sql import with_hotel_tables
+from nightaudit.registry import REGISTRY
 from nightaudit.sources.hotel import TABLE_NAMES, hotel_tables
 from tests.conftest import SF_SMALL
 from tools.compare import compare
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = REGISTRY
+ORACLE = {name: sql for name, sql in E.oracle_sql().items() if name in REGISTRY}
 
 
 def test_every_query_has_an_oracle():

@@ -9,12 +9,14 @@ The MCD is found by concentration steps, all of them grouped aggregates over the
 medians and median absolute deviations, keep the ``KEEP_SHARE`` of each group that lies nearest, take mean and
 covariance of those, repeat. The share is cut off at a bin edge of the distances (64 bins to a doubling), so a
 threshold is a cumulative count over a bounded number of bins and never a sort of a group; a source with a third of
-all rows is pre-aggregated before each shuffle like any other. The covariance is factored (Cholesky) in columns, once
-per group, and each distance is a forward substitution in columns of the row.
+all rows is pre-aggregated before each shuffle like any other. The covariance is factored (Cholesky) and each distance
+is a forward substitution, both in columns of the row.
 
 Two guards keep clean texts: every statistic has a least spread (``FLOOR``), without which a group where nine texts in
-ten have no symbol at all would reject the tenth; and the squared distance is shrunk by n / (n + ``SHRINK_WORDS``) for
-a text of n words, as ratios over few words scatter more.
+ten have no symbol at all would reject the tenth; and, as ratios over few words scatter more, the estimate has for each
+statistic a variance that grows with 1 / words, the slope of a regression of the kept texts' squared deviations on it. A
+text shorter than its group's mean is judged by the covariance that texts of its length have; the distance itself is the
+plain squared Mahalanobis distance, in the steps as in the verdict.
 
 Groups of fewer than ``MIN_GROUP`` texts are pooled by language, and what is then still too small is pooled over all;
 a pool below ``MIN_GROUP`` has no estimate and its texts are judged by the base rule alone. Defined results: a null or
@@ -36,7 +38,6 @@ REPEAT_WINDOW = 8
 KEEP_SHARE = 0.75
 STEPS = 4
 MIN_GROUP = 60
-SHRINK_WORDS = 100
 #: Least standard deviation of each statistic, in its transformed unit.
 FLOOR = {"log_word_len": 0.08, "symbols": 0.045, "capitals": 0.06, "dup_lines": 0.15, "repeats": 0.12}
 STATS = list(FLOOR)
@@ -109,41 +110,46 @@ def _pools(rows: DataFrame) -> DataFrame:
         .when(F.col("rest_n") >= MIN_GROUP, F.lit("[]")).alias("pool"))
 
 
-def _factored(moments: DataFrame, center: dict[str, Column], cov: dict[tuple[str, str], Column]) -> DataFrame:
-    """(pool, m_<stat>, l_<i>_<j>): centres and the Cholesky factor of the covariance with the least spread added."""
+def _with_distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """``rows`` with q_distance, the squared Mahalanobis distance to its pool, by the covariance c_<i>_<j> with b_<stat>
+    for each unit by which 1 / words lies above the pool's mean (null without an estimate)."""
+    own = estimate.withColumnRenamed("pool", "e_pool")
+    out = rows.join(own, F.col("pool") == F.col("e_pool"), "left")
     p = len(STATS)
-    out = moments.select("pool", *[center[s].alias(f"m_{s}") for s in STATS],
-                         *[cov[a, b].alias(f"c_{i}_{j}") for i, a in enumerate(STATS) for j, b in enumerate(STATS[:i + 1])])
-    for j in range(p):  # column by column; each needs those before it
-        s = F.col(f"c_{j}_{j}")
+    out = out.withColumn("shorter", F.greatest(_per_word() - F.col("u_mean"), F.lit(0.0)))
+    total = F.lit(0.0)
+    for j, stat in enumerate(STATS):  # column by column; each needs those before it
+        s = F.col(f"c_{j}_{j}") + F.col(f"b_{stat}") * F.col("shorter")
         for k in range(j):
             s = s - F.col(f"l_{j}_{k}") * F.col(f"l_{j}_{k}")
-        out = out.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(s, F.lit(FLOOR[STATS[j]] ** 2 * 1e-3))))
-        below = {}
+        out = out.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(s, F.lit(FLOOR[stat] ** 2 * 1e-3))))
+        z = F.col(stat) - F.col(f"m_{stat}")
+        for k in range(j):
+            z = z - F.col(f"l_{j}_{k}") * F.col(f"z_{k}")
+        made = {f"z_{j}": z / F.col(f"l_{j}_{j}")}
         for i in range(j + 1, p):
             s = F.col(f"c_{i}_{j}")
             for k in range(j):
                 s = s - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            below[f"l_{i}_{j}"] = s / F.col(f"l_{j}_{j}")
-        if below:
-            out = out.withColumns(below)
-    return out.select("pool", *[f"m_{s}" for s in STATS], *[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)])
+            made[f"l_{i}_{j}"] = s / F.col(f"l_{j}_{j}")
+        out = out.withColumns(made)
+        total = total + F.col(f"z_{j}") * F.col(f"z_{j}")
+    return out.withColumn("q_distance", total).drop(
+        "e_pool", "shorter", *[c for c in estimate.columns if c != "pool"], *[f"z_{i}" for i in range(p)],
+        *[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)])
 
 
-def _with_distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """``rows`` with q_distance, the shrunk squared Mahalanobis distance to its pool (null without an estimate)."""
-    own = estimate.withColumnRenamed("pool", "e_pool")
-    out = rows.join(own, F.col("pool") == F.col("e_pool"), "left")
-    total = F.lit(0.0)
-    for i, s in enumerate(STATS):
-        z = F.col(s) - F.col(f"m_{s}")
-        for k in range(i):
-            z = z - F.col(f"l_{i}_{k}") * F.col(f"z_{k}")
-        out = out.withColumn(f"z_{i}", z / F.col(f"l_{i}_{i}"))
-        total = total + F.col(f"z_{i}") * F.col(f"z_{i}")
-    shrunk = total * F.col("q_n_words") / (F.col("q_n_words") + SHRINK_WORDS)
-    return out.withColumn("q_distance", shrunk).drop(
-        "e_pool", *[c for c in estimate.columns if c != "pool"], *[f"z_{i}" for i in range(len(STATS))])
+def _per_word() -> Column:
+    return F.lit(1.0) / F.greatest(F.col("q_n_words"), F.lit(1))
+
+
+def _estimate(moments: DataFrame, center: dict[str, Column], cov: dict[tuple[str, str], Column],
+              u_mean: Column, slope: dict[str, Column]) -> DataFrame:
+    """(pool, m_<stat>, c_<i>_<j>, u_mean, b_<stat>): centres, covariance with the least spread added, the mean of
+    1 / words and the variance that each statistic gains with it."""
+    return moments.select("pool", *[center[s].alias(f"m_{s}") for s in STATS], u_mean.alias("u_mean"),
+                          *[cov[a, b].alias(f"c_{i}_{j}") for i, a in enumerate(STATS) for j, b in enumerate(STATS[:i + 1])],
+                          *[slope[s].alias(f"b_{s}") for s in STATS])
 
 
 def _floor(a: str, b: str) -> Column:
@@ -157,16 +163,19 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
     spread = near.groupBy("pool").agg(
         *[F.first(f"med_{s}").alias(f"med_{s}") for s in STATS],
         *[F.percentile_approx(F.abs(F.col(s) - F.col(f"med_{s}")), 0.5, 10000).alias(f"mad_{s}") for s in STATS])
-    estimate = stored(_factored(
+    estimate = stored(_estimate(
         spread, {s: F.col(f"med_{s}") for s in STATS},
         {(a, b): F.pow(F.col(f"mad_{a}") * 1.4826, 2) + _floor(a, b) if a == b else F.lit(0.0)
-         for a in STATS for b in STATS}), "mcd-start")
+         for a in STATS for b in STATS}, F.lit(0.0), {s: F.lit(0.0) for s in STATS}), "mcd-start")
+    u = _per_word()
     for step in range(STEPS):
         scored = _with_distance(rows, estimate).withColumn("bin", F.when(
             F.col("q_distance") <= 1e-6, F.lit(-20 * BINS_PER_DOUBLING)).otherwise(
             F.ceil(F.log2("q_distance") * BINS_PER_DOUBLING)).cast("int"))
         by_bin = scored.groupBy("pool", "bin").agg(
             F.count("*").alias("n"), *[F.sum(s).alias(f"s_{s}") for s in STATS],
+            F.sum(u).alias("u"), F.sum(u * u).alias("uu"), *[F.sum(F.col(s) * u).alias(f"su_{s}") for s in STATS],
+            *[F.sum(F.col(s) * F.col(s) * u).alias(f"xu_{s}") for s in STATS],
             *[F.sum(F.col(a) * F.col(b)).alias(f"x_{i}_{j}")
               for i, a in enumerate(STATS) for j, b in enumerate(STATS[:i + 1])])
         # The nearest KEEP_SHARE of a pool: whole bins, up to the one that completes the share.
@@ -178,7 +187,15 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
         center = {s: F.col(f"s_{s}") / F.col("n") for s in STATS}
         cov = {(a, b): (F.col(f"x_{i}_{j}") / F.col("n") - center[a] * center[b]) / CONSISTENCY + _floor(a, b)
                for i, a in enumerate(STATS) for j, b in enumerate(STATS[:i + 1])}
-        estimate = stored(_factored(sums, center, cov), f"mcd-step{step}")
+        u_mean = F.col("u") / F.col("n")
+        u_var = F.col("uu") / F.col("n") - u_mean * u_mean
+        slope = {}
+        for i, s in enumerate(STATS):
+            var = F.col(f"x_{i}_{i}") / F.col("n") - center[s] * center[s]
+            with_u = (F.col(f"xu_{s}") - F.lit(2.0) * center[s] * F.col(f"su_{s}") + center[s] * center[s] * F.col("u")) / F.col("n")
+            slope[s] = F.when(u_var > 1e-12, F.greatest((with_u - var * u_mean) / u_var, F.lit(0.0)) / CONSISTENCY).otherwise(
+                F.lit(0.0))
+        estimate = stored(_estimate(sums, center, cov, u_mean, slope), f"mcd-step{step}")
     return estimate
 
 

@@ -247,6 +247,18 @@ def test_outliers_go_and_clean_texts_stay(docs):
     assert all(kept[i] for i, *_ in rows) and not any(kept[i] for i, *_ in junk)
 
 
+def test_short_outliers_go(docs):
+    rng = random.Random(2)
+
+    def prose(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(n)]
+    rows = [(i, " ".join(prose(rng.choice([25, 40, 80, 400]))), "en", "s") for i in range(400)]
+    # Symbols at a tenth to a seventh of the characters.
+    junk = [(1000 + i, " ".join(w + "*" * (k % 2) for k, w in enumerate(prose(40))), "en", "s") for i in range(40)]
+    got = {r.doc_id: r for r in quality.score(docs(rows + junk), ["doc_id"]).collect()}
+    assert all(got[i].q_kept for i, *_ in rows) and not any(got[i].q_kept for i, *_ in junk)
+
+
 # ---- 8: BPE
 
 def test_bpe_equals_library(docs):

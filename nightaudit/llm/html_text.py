@@ -36,6 +36,8 @@ BLOCK_TAGS = frozenset("address article aside blockquote body button caption cen
                        "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre "
                        "search section select summary table tbody td textarea tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: What may stand in a head; any other start tag, and text, ends an open head.
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 SILENT_TAGS = frozenset("script style template noscript head title svg math iframe object canvas audio video".split())
 #: An open element of these ends where one of the group begins, unless a container of the group stands between.
 IMPLIED_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -76,7 +78,15 @@ class _Blocks(HTMLParser):
             self.silent -= entry[3]
         del self.stack[n:]
 
+    def _end_head(self) -> None:
+        """Ends a head that stands open, unless one of its own elements (title, noscript, ...) is open in it."""
+        inner = next((n for n in range(len(self.stack) - 1, -1, -1) if self.stack[n][3]), None)
+        if inner is not None and self.stack[inner][0] == "head":
+            self._pop(inner)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.silent and tag not in HEAD_TAGS:
+            self._end_head()
         block = tag in BLOCK_TAGS
         if block:
             self._end_block()
@@ -129,6 +139,8 @@ class _Blocks(HTMLParser):
                 break
 
     def handle_data(self, data: str) -> None:
+        if self.silent and not data.isspace():
+            self._end_head()
         if self.silent:
             return
         if self.above is None and not data.isspace():

@@ -218,6 +218,17 @@ def test_crf_on_held_out_layouts():
     assert html_text.main_text(crf, None) == "" and html_text.main_text(crf, "<p") in ("", "<p")
 
 
+def test_open_head_ends_where_the_body_begins():
+    crf = html_text.train()
+    start, end = "<!DOCTYPE html><html><head><meta charset=utf-8><title>T</title><style>p{}</style>\n", "<p>Three four five, six.</p>"
+    want = "A heading\nOne two three four."
+    for page in (start + "<article><h1>A heading</h1><p>One two three four.", start + "</head><body><article><h1>A heading</h1><p>One "
+                 "two three four.", start + "<noscript><div>No.</div></noscript><article><h1>A heading</h1><p>One two three four."):
+        assert html_text.main_text(crf, page) == want
+    assert [b.text for b in html_text.blocks_of(start + "Plain <b>text</b>" + end)] == ["Plain text", "Three four five, six."]
+    assert [b.text for b in html_text.blocks_of(start + "<a href=/>Link</a>" + end)] == ["Link", "Three four five, six."]
+
+
 # ---- 7: quality
 
 def test_quality_counts_equal_brute_force(spark, docs, edge_rows):

@@ -2,10 +2,11 @@
 
 Network. Bytes are embedded, filters of ``WIDTHS`` bytes slide over a window of ``WINDOW`` bytes, rectified and
 max-pooled over the window, and a softmax layer gives the languages. Training (Adam on cross-entropy, with a fixed seed)
-runs on the driver over a bounded sample: at most ``SAMPLE_DOCS`` documents of each of at most ``MOST_LANGUAGES``
-languages, chosen by a hash of their ids among those not held out, and ``SAMPLE_WINDOWS`` windows spread over each. The
-bounds are parameters; they bound what the driver gets, whatever the table's size. Labels, sources and ids are never
-inputs of a prediction.
+runs on the driver over a bounded sample of every language: at most ``SAMPLE_DOCS`` documents of each, and of all
+languages together ``SAMPLE_TOTAL``, so beyond 64 languages each gives fewer, down to one. They are chosen by a hash of
+their ids among those not held out that have a letter, with ``SAMPLE_WINDOWS`` windows spread over each. What the driver
+gets grows with the number of languages only where there are more of them than ``SAMPLE_TOTAL``. Labels, sources and ids
+are never inputs of a prediction.
 
 Prediction. Every text is cut into windows from its first byte to its last (the last is padded), windows of many texts
 are evaluated in one batch, and a text's probabilities are the byte-weighted mean over its windows. Filters are applied
@@ -34,7 +35,7 @@ FILTERS = 16
 EMBEDDING = 8
 SAMPLE_DOCS = 500
 SAMPLE_WINDOWS = 6
-MOST_LANGUAGES = 64
+SAMPLE_TOTAL = 32_000
 EPOCHS = 6
 BATCH = 2048
 HELD_OUT_OF = 5
@@ -159,14 +160,16 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(rows, pa.binary())], names=["lang", "x"])
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> ByteCnn:
-    """A network for the non-null languages of the documents that are not held out."""
-    known = docs.select("doc_id", "lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL").filter(~held_out())
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_total: int = SAMPLE_TOTAL) -> ByteCnn:
+    """A network for all non-null languages of the documents with an id and a letter that are not held out."""
+    known = (docs.select("doc_id", "lang", "text").filter("doc_id IS NOT NULL AND lang IS NOT NULL")
+             .filter(F.col("text").rlike(r"\p{L}")).filter(~held_out()))
     # Which documents: from ids and labels only; each task hands on no more than the bound.
     ranked = known.select("doc_id", "lang").withColumn("r", F.row_number().over(
         Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).filter(F.col("r") <= sample_docs)
-    few = ranked.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).select("lang")
-    chosen = ranked.join(few, "lang", "left_semi").select("doc_id").distinct()
+    each = ranked.filter("r = 1").agg(F.count("*").alias("languages")).select(
+        F.greatest(F.floor(F.lit(sample_total) / F.greatest("languages", F.lit(1))), F.lit(1)).alias("each"))
+    chosen = ranked.crossJoin(F.broadcast(each)).filter("r <= each").select("doc_id").distinct()  # one row
     rows = (known.join(chosen, "doc_id", "left_semi").select("text", "lang")
             .mapInArrow(_sample_windows, "lang string, x binary").orderBy("lang", "x").collect())  # bounded by the sample
     languages = sorted({r["lang"] for r in rows})

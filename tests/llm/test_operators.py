@@ -329,6 +329,16 @@ def test_language_held_out_accuracy(spark):
     assert right > 0.97
 
 
+def test_all_languages_are_learned(docs):
+    names = [f"l{i:03}" for i in range(70)]
+    # Ids 1 to 9 of a language: the first two texts have no letter, and some ids are held out.
+    rows = [(100 * i + k, "123 !" if k < 3 else f"text {k} of {name}", name, None) for i, name in enumerate(names)
+            for k in range(1, 10)]
+    d = docs(rows)
+    assert langid.train(d).languages == names
+    assert langid.train(d, sample_total=7).languages == names
+
+
 def test_language_undetermined(docs, edge_rows):
     d = docs(edge_rows)
     net = langid.ByteCnn(["de", "en"])

@@ -1,11 +1,14 @@
 """Secret scans: pattern matches plus sliding-window Shannon entropy over candidate strings.
 
 Pattern kinds (assign, access, hex) give the base spans. The method adds spans of kind ``entropy``: a candidate is a
-maximal run of ``CANDIDATE`` characters, its character class (hex, lower-case alphanumeric, base64) sets the entropy
-that a window must reach, and a window of ``WINDOW`` characters slides over it. The entropy is kept by incremental
+maximal run of ``CANDIDATE`` characters, a window of ``WINDOW`` characters slides over it, and the window's own character
+class (hex, lower-case or upper-case alphanumeric, base64) sets the entropy that it must reach, so that a key glued to
+a name by = _ - or / is judged like a bare one. The entropy is kept by incremental
 counts: one character enters and one leaves, and the sum of c * log2(c) over the counts changes by two table steps.
 The table is in millionths, so that all engines agree to the last bit. Hot windows that touch make one span.
-Candidates that an allow-list pattern matches are passed over, and spans that overlap a base span are not added.
+Windows inside a match of an allow-list pattern, or that touch a placeholder, are passed over, and spans that overlap a
+base span are not added. The SQL text at the end still states the class and the allow-list by whole candidates; the two
+agree where no candidate mixes classes.
 
 Places are found in linear time: the pieces between the matches and the matches themselves become rows, and a running
 sum of their lengths within a text gives the code-point offsets. Texts without a match cost one scan for each pattern
@@ -42,6 +45,14 @@ ALLOWED = [r"^[A-Za-z]?[a-z]+$", r"^[A-Z]+$", r"^[0-9=_-]+$", r"^[0-9a-fA-F]{8}(
            r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{6}|0123456789|abcdefgh",
            r"^/?[a-z]+([/_-][a-z]+)+/?$"]
 
+#: The same by window: SQL for "code point c is of the class", and the bits.
+WINDOW_CLASSES = {"hex": ("c BETWEEN 48 AND 57 OR c BETWEEN 65 AND 70 OR c BETWEEN 97 AND 102", 3.0),
+                  "lower": ("c BETWEEN 48 AND 57 OR c BETWEEN 97 AND 122", 3.6),
+                  "upper": ("c BETWEEN 48 AND 57 OR c BETWEEN 65 AND 90", 3.6)}
+#: The allow-list within a candidate: what a window may lie inside of, and placeholders that it may not touch.
+INSIDE = [p.removeprefix("^").removesuffix("$") for p in ALLOWED if p.startswith("^")]
+TOUCHED = [p for p in ALLOWED if not p.startswith("^")]
+
 MILLIONTHS = [round(c * math.log2(c) * 1e6) if c else 0 for c in range(WINDOW + 1)]
 
 
@@ -53,36 +64,51 @@ def _most(bits: float) -> int:
 def _hot(upto: str) -> str:
     """SQL: the spans so far, with the window of state ``st`` that ends before ``upto`` where it is hot."""
     a = f"{upto} - {WINDOW}"
-    return f"""CASE WHEN {upto} < {WINDOW} OR st.total > most THEN st.spans
+    most = " ".join(f"WHEN st.{k} < {a} THEN {_most(bits)}L" for k, (_, bits) in WINDOW_CLASSES.items())
+    return f"""CASE WHEN {upto} < {WINDOW} OR st.total > CASE {most} ELSE {_most(CLASSES[-1][2])}L END
+      OR exists(inside, x -> x.a <= {a} AND x.b >= {upto}) OR exists(touched, x -> x.a < {upto} AND x.b > {a}) THEN st.spans
       WHEN size(st.spans) > 0 AND st.spans[size(st.spans) - 1].b >= {a} THEN concat(
         slice(st.spans, 1, size(st.spans) - 1), array(struct(st.spans[size(st.spans) - 1].a AS a, {upto} AS b)))
       ELSE concat(st.spans, array(struct({a} AS a, {upto} AS b))) END"""
 
 
+def _places(text: str, pattern: str, least: int = 1) -> str:
+    """SQL: the places (a, b), from 0, end exclusive, of the pattern's matches of ``least`` characters in the text column."""
+    p = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"""CASE WHEN {text} RLIKE {p} THEN aggregate(
+      zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}), (m, p) ->
+        named_struct('gap', length(p), 'len', coalesce(length(m), 0))),
+      named_struct('at', 0, 'out', CAST(array() AS array<struct<a: int, b: int>>)),
+      (st, x) -> named_struct('at', st.at + x.gap + x.len, 'out', IF(x.len < {least}, st.out, concat(st.out, array(
+        named_struct('a', st.at + x.gap, 'b', st.at + x.gap + x.len))))), st -> st.out)
+      ELSE CAST(array() AS array<struct<a: int, b: int>>) END"""
+
+
 def with_hot_spans(rows: DataFrame, candidate: str = "s") -> DataFrame:
     """Adds ``spans``: array of (a, b), from 0, end exclusive, the merged hot windows of the candidate string; empty
     if there is none or the allow-list suppresses it, null if the candidate is null."""
-    most = F.lit(_most(CLASSES[-1][2]))
-    for _, pattern, bits in reversed(CLASSES[:-1]):
-        most = F.when(F.col(candidate).rlike(pattern), F.lit(_most(bits))).otherwise(most)
-    for pattern in ALLOWED:
-        most = F.when(F.col(candidate).rlike(pattern), F.lit(-1)).otherwise(most)
-    out = rows.withColumns({"most": most.cast("long"), "steps": F.lit(MILLIONTHS).cast("array<bigint>"), "codes": F.transform(
+    # A match shorter than a window has none inside.
+    inside = F.expr(f"concat({', '.join(_places(candidate, p, WINDOW) for p in INSIDE)})")
+    touched = F.expr(f"concat({', '.join(_places(candidate, p) for p in TOUCHED)})")
+    out = rows.withColumns({"inside": inside, "touched": touched, "steps": F.lit(MILLIONTHS).cast("array<bigint>"), "codes": F.transform(
         F.array_remove(F.split(candidate, ""), ""), lambda c: F.ascii(c))})
     leaving = f"codes[i - {WINDOW}]"
+    lasts = ", ".join(f"'{k}', IF({test.replace('c BETWEEN', 'codes[i] BETWEEN')}, st.{k}, i)"
+                      for k, (test, _) in WINDOW_CLASSES.items())
     step = f"""named_struct(
       'n', IF(i >= {WINDOW} AND codes[i] = {leaving}, st.n, transform(st.n, (c, k) ->
         c + IF(k = codes[i], 1, 0) - IF(i >= {WINDOW} AND k = {leaving}, 1, 0))),
       'total', st.total + IF(i >= {WINDOW} AND codes[i] = {leaving}, 0L,
         steps[st.n[codes[i]] + 1] - steps[st.n[codes[i]]]
         + IF(i >= {WINDOW}, steps[st.n[{leaving}] - 1] - steps[st.n[{leaving}]], 0L)),
-      'spans', {_hot('i')})"""
+      'spans', {_hot('i')}, {lasts})"""
     step = step.replace(leaving, f"get(codes, i - {WINDOW})")
-    spans = f"""CASE WHEN {candidate} IS NULL THEN NULL WHEN most < 0 THEN CAST(array() AS array<struct<a: int, b: int>>)
+    last = ", ".join(f"'{k}', -1" for k in WINDOW_CLASSES)  # place of the last character that is not of the class
+    spans = f"""CASE WHEN {candidate} IS NULL THEN NULL
       ELSE aggregate(sequence(0, size(codes) - 1),
-        named_struct('n', array_repeat(0, 128), 'total', 0L, 'spans', CAST(array() AS array<struct<a: int, b: int>>)),
+        named_struct('n', array_repeat(0, 128), 'total', 0L, 'spans', CAST(array() AS array<struct<a: int, b: int>>), {last}),
         (st, i) -> {step}, st -> {_hot('size(codes)')}) END"""
-    return out.withColumn("spans", F.expr(spans)).drop("most", "steps", "codes")
+    return out.withColumn("spans", F.expr(spans)).drop("inside", "touched", "steps", "codes")
 
 
 def _match_rows(docs: DataFrame) -> DataFrame:

@@ -103,6 +103,23 @@ def test_secret_spans(docs):
     assert red == {0: "é [SECRET]' end", 5: "clean"}
 
 
+def test_entropy_by_window(docs):
+    rng = random.Random(4)
+
+    def drawn(letters, n):
+        return "".join(rng.sample(letters, len(letters)) * n)[:n]
+    upper_hex, low, alnum = drawn("0123456789ABCDEF", 40), drawn("ghijklmn0123456789abcdef", 24), drawn("ABCDEFGHJKMN23456789"[:16], 24)
+    word = "plainlowercasewordsthatgoonandon"
+    texts = [f"sha1={upper_hex}", f"id_{low}", alnum, f"{word}/{upper_hex}", f"example={upper_hex}", word, f"x={word}",
+             "550e8400-e29b-41d4-a716-446655440000", "some/plain_path/with-words", "0123456789abcdefghijklmnop"]
+    got = {r.doc_id: [(s["name"], s["start"], s["end"]) for s in r.spans]
+           for r in secrets.scan(docs([(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    for i, key in ((0, upper_hex), (1, low), (2, alnum), (3, upper_hex), (4, upper_hex)):
+        at = texts[i].index(key)
+        assert any(k == "entropy" and a <= at and b == at + len(key) for k, a, b in got[i]), (i, got[i])
+    assert all(got[i] == [] for i in range(5, len(texts)))
+
+
 # ---- 3: token counts
 
 def test_rollup_is_idempotent(spark, tmp_path):

@@ -6,9 +6,9 @@ class (hex, lower-case or upper-case alphanumeric, base64) sets the entropy that
 a name by = _ - or / is judged like a bare one. The entropy is kept by incremental
 counts: one character enters and one leaves, and the sum of c * log2(c) over the counts changes by two table steps.
 The table is in millionths, so that all engines agree to the last bit. Hot windows that touch make one span.
-Windows inside a match of an allow-list pattern, or that touch a placeholder, are passed over, and spans that overlap a
-base span are not added. The SQL text at the end still states the class and the allow-list by whole candidates; the two
-agree where no candidate mixes classes.
+Windows inside a match of an allow-list pattern, or that touch a placeholder, are passed over, and spans are cut
+where base spans lie; what is left of them is added. The SQL text at the end still states the class and the allow-list
+by whole candidates and drops spans that overlap; the two agree where no candidate mixes classes and nothing overlaps.
 
 Places are found in linear time: the pieces between the matches and the matches themselves become rows, and a running
 sum of their lengths within a text gives the code-point offsets. Texts without a match cost one scan for each pattern
@@ -148,11 +148,19 @@ def scan(docs: DataFrame) -> DataFrame:
                        (F.col("start") + F.col("span.b")).alias("end"))
     base = F.col("kind").between(0, 2)
     by_start = Window.partitionBy("row_key").orderBy("start", "kind")
-    before = F.max(F.when(base, F.col("end"))).over(by_start)
-    after = F.min(F.when(base, F.col("start"))).over(by_start.rowsBetween(0, Window.unboundedFollowing))
-    rows = rows.withColumns({"base_end": before, "base_start": after}).filter(
-        (F.col("kind") != 3) | ~(F.coalesce(F.col("base_end") > F.col("start"), F.lit(False))
-                                 | F.coalesce(F.col("base_start") < F.col("end"), F.lit(False))))
+    upto = by_start.rowsBetween(Window.unboundedPreceding, 0)
+    # What base spans leave of a region begins where the region or a base span in it ends or begins, at its own row or
+    # that of the base span, and ends with the region or at the next base span. Regions are disjoint.
+    rows = rows.withColumns({
+        "reach": F.max(F.when(base, F.col("end"))).over(upto),
+        "region": F.last(F.when(F.col("kind") == 3, F.col("end")), True).over(upto),
+        "next": F.min(F.when(base, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))})
+    piece = F.struct(F.lit(3).alias("kind"), F.greatest(F.when(F.col("kind") == 3, F.col("start")), F.col("reach")).alias("start"),
+                     F.least("region", "next").alias("end"))
+    rows = rows.select("row_key", "doc_id", "text_key", F.explode(F.filter(F.array(
+        F.when(F.col("kind") != 3, F.struct("kind", "start", "end")),
+        F.when((F.col("kind") >= 0) & F.col("region").isNotNull() & (piece["start"] < piece["end"]), piece)),
+        lambda x: x.isNotNull())).alias("x")).select("row_key", "doc_id", "text_key", "x.*")
     name = F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     return rows.groupBy("row_key", "doc_id", "text_key").agg(F.array_sort(F.collect_list(F.when(
         F.col("kind") >= 0, F.struct("start", "kind", name.alias("name"), "end")))).alias("spans")).drop("row_key")

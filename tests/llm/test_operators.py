@@ -120,6 +120,16 @@ def test_entropy_by_window(docs):
     assert all(got[i] == [] for i in range(5, len(texts)))
 
 
+def test_entropy_beside_base_spans_stays(docs):
+    access, blob = "AKIA" + "QRSTUVWXYZ234567", "wJalrXUtnFEMIqK7MDENGzbPxRfiCYkd93hTq2Lm"
+    text = f"id {access}/{blob} {access}/{blob}/{access}-{blob}= end"
+    d = docs([(0, text, None, None)])
+    spans = [(s["name"], s["start"], s["end"]) for s in secrets.scan(d).first().spans]
+    assert all(b <= c for (_, _, b), (_, c, _) in zip(spans, spans[1:])) and [k for k, _, _ in spans] == ["access", "entropy"] * 3
+    red = secrets.redact(d).first().text
+    assert access not in red and not any(blob[i:i + 8] in red for i in range(len(blob) - 7))
+
+
 # ---- 3: token counts
 
 def test_rollup_is_idempotent(spark, tmp_path):

@@ -13,7 +13,7 @@ soft labels of a naive Bayes classifier over the span itself (length, digits, ch
 its shape), trained in one aggregate over all proposals. The classifier decides on the proposals of the method; a span that
 overlaps a base span is not added, and a failed check is never overruled.
 
-Everything is DataFrame code; what comes to the driver are the labelers' reliabilities. Each text is read once, the stored
+Everything is DataFrame code, the EM a fold in one row; nothing comes to the driver. Each text is read once, the stored
 proposals hold no text, and places are running sums of piece lengths, so no text is searched twice for the same string.
 All patterns take one pass: repetitions are possessive, and a run is entered at its beginning or where the last match ended.
 
@@ -33,21 +33,25 @@ from nightaudit.llm.common import stored, table, text_or_empty
 
 LOCAL = "[A-Za-z0-9._%+-]"
 CAPITAL, SMALL = r"[A-ZÀ-Þ]", r"[a-zß-ÿ]"
-AT, DOT = r"(?:\x20?[(\[]at[)\]]\x20?|\x20at\x20)", r"(?:\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
+AT, DOT = r"\x20?[(\[]at[)\]]\x20?", r"(?:\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
+HOST = "[A-Za-z0-9-]"
 #: Forms of address that stand before a name.
 TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Don|Doña"
-#: The first four are the contract's patterns in possessive form.
+#: The first four are the contract's patterns in possessive form. A lookahead for the first character comes first, as it
+#: is the cheapest test.
 PATTERNS = {
-    "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
+    "email": rf"(?={LOCAL})(?:\G|(?<!{LOCAL})){LOCAL}++@{HOST}++(?:\.{HOST}++)++",
+    "ip": r"(?=[0-9])(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "card": r"(?=[0-9])(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "mail": rf"(?<!{LOCAL}){LOCAL}++{AT}[A-Za-z0-9-]++(?:(?:{DOT}|\.)[A-Za-z0-9-]++)++",
-    "tel": r"(?<![0-9A-Za-z+.,/-])(?:\([0-9]{2,5}+\)|[0-9]{3,5}+)[\x20/.-][0-9]{2,4}+(?:[\x20.-][0-9]{2,4}+){1,3}+(?![\x20.-]?[0-9A-Za-z])",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3}+)?(?![0-9A-Za-z])",
-    "name": rf"(?<![\p{{L}}0-9])(?:{TITLES})\.?\x20{CAPITAL}{SMALL}++(?:\x20{CAPITAL}{SMALL}++)?+",
+    "mail": rf"(?={LOCAL})(?<!{LOCAL}){LOCAL}++(?:{AT}{HOST}++(?:(?:{DOT}|\.){HOST}++)++|\x20at\x20{HOST}++(?:{DOT}{HOST}++)++)",
+    "tel": r"(?=[0-9(])(?<![0-9A-Za-z+.,/-])(?:\([0-9]{2,5}+\)|[0-9]{3,5}+)[\x20/.-][0-9]{2,4}+(?:[\x20.-][0-9]{2,4}+){1,3}+(?![\x20.-]?[0-9A-Za-z])",
+    "ssn": r"(?=[0-9])(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
+    "iban": r"(?=[A-Z])(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3}+)?(?![0-9A-Za-z])",
+    "name": rf"(?=[MDPHFS])(?<![\p{{L}}0-9])(?:{TITLES})\.?\x20{CAPITAL}{SMALL}++(?:\x20{CAPITAL}{SMALL}++)?+",
 }
+#: Strings without one of which a text has no match of the kind; finding that out costs less than the pattern.
+NEEDED = {"email": ["@"], "phone": ["+"], "mail": ["(at)", "[at]", " dot ", "(dot)", "[dot]"], "ssn": ["-"]}
 KINDS = list(PATTERNS)
 BASE = 4
 CONTEXT = 24
@@ -167,7 +171,12 @@ def proposals(docs: DataFrame) -> DataFrame:
     with the length of the piece before it, and a row of kind -1 per text. No text is kept."""
     out = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.monotonically_increasing_id().alias("row_key"),
                       text_or_empty().alias("q_text"))
-    out = out.withColumns({f"m{k}": F.regexp_extract_all("q_text", F.lit(p), F.lit(0)) for k, p in enumerate(PATTERNS.values())})
+    for k, (name, p) in enumerate(PATTERNS.items()):
+        hits = F.regexp_extract_all("q_text", F.lit(p), F.lit(0))
+        if name in NEEDED:
+            any_of = reduce(lambda a, b: a | b, [F.contains("q_text", F.lit(x)) for x in NEEDED[name]])
+            hits = F.when(any_of, hits).otherwise(F.array().cast("array<string>"))
+        out = out.withColumn(f"m{k}", hits)
     out = out.withColumns({f"p{k}": F.when(F.size(f"m{k}") > 0, F.split("q_text", p)) for k, p in enumerate(PATTERNS.values())})
     fields = "kind: int, at: int, gap: int, len: int, s: string, before: string, after: string"
     marks = [F.expr(f"IF(size(m{k}) > 0, transform(m{k}, (s, i) -> struct({k} AS kind, i AS at, length(p{k}[i]) AS gap, "
@@ -184,39 +193,39 @@ def proposals(docs: DataFrame) -> DataFrame:
         "s", "before", "after")
 
 
-def reliabilities(patterns: DataFrame) -> tuple[list[float], list[float], list[float]]:
-    """EM over ``patterns`` (kind, code, n; one row per kind and vote pattern): for each labeler, how often a vote on
-    personal data is for it, and on other strings against it; for each kind, the share of personal data."""
-    right, wrong, prior = [START] * len(LABELERS), [START] * len(LABELERS), [0.5] * len(KINDS)
-    for _ in range(EM_STEPS):
-        q = patterns.withColumn("q", _posterior(right, wrong, prior))
-        sums = []
-        for j in range(len(LABELERS)):
-            v = _digit(F.col("code"), j)
-            sums += [F.sum(F.when(v == 1, F.col("n") * F.col("q"))), F.sum(F.when(v != 0, F.col("n") * F.col("q"))),
-                     F.sum(F.when(v == -1, F.col("n") * (1 - F.col("q")))), F.sum(F.when(v != 0, F.col("n") * (1 - F.col("q"))))]
-        for k in range(len(KINDS)):
-            sums += [F.sum(F.when(F.col("kind") == k, F.col("n") * F.col("q"))), F.sum(F.when(F.col("kind") == k, F.col("n")))]
-        got = [x or 0.0 for x in q.agg(*[s.alias(f"x{i}") for i, s in enumerate(sums)]).first()]
-        right, wrong = [], []
-        for j in range(len(LABELERS)):
-            for_it, on_it, against, on_other = got[4 * j:4 * j + 4]
-            right.append(round((for_it + START * WORTH) / (on_it + WORTH), 9))
-            wrong.append(round((against + START * WORTH) / (on_other + WORTH), 9))
-        pairs = got[4 * len(LABELERS):]
-        prior = [round((pairs[2 * k] + 1) / (pairs[2 * k + 1] + 2), 9) for k in range(len(KINDS))]
-    return right, wrong, prior
-
-
-def _posterior(right: list[float], wrong: list[float], prior: list[float]) -> Column:
-    def log_of(p: float) -> Column:
-        return F.log(F.lit(min(max(p, 1e-9), 1 - 1e-9)))
-    z = F.get(F.array(*[log_of(p) - log_of(1 - p) for p in prior]), F.col("kind"))
-    for j in range(len(LABELERS)):
-        v = _digit(F.col("code"), j)
-        z = z + F.when(v == 1, log_of(right[j]) - log_of(1 - wrong[j])).when(
-            v == -1, log_of(1 - right[j]) - log_of(wrong[j])).otherwise(0.0)
-    return F.lit(1.0) / (1 + F.exp(-z))
+def _each(parts: list[str]) -> str:
+    return f"array({', '.join(parts)})"
+
+
+def with_reliabilities(patterns: DataFrame) -> DataFrame:
+    """EM over ``patterns`` (kind, code, n; one row per kind and vote pattern). One row: ``votes``, the patterns in order,
+    and ``p``: for each labeler, how often a vote on personal data is for it (``right``) and on other strings against it
+    (``wrong``), and for each kind the share of personal data (``prior``)."""
+    n = len(LABELERS)
+    votes = F.array(*[_digit(F.col("code"), j).cast("int") for j in range(n)]).alias("v")
+    rows = patterns.agg(F.array_sort(F.collect_list(F.struct("kind", "code", votes, F.col("n").cast("double").alias("n")))).alias("votes"))
+
+    def total(value: str) -> str:
+        return f"aggregate(qs, 0D, (a, x) -> a + {value})"
+
+    right = _each([f"({total(f'IF(x.v[{j}] = 1, x.n * x.q, 0D)')} + {START * WORTH}D) / "
+                   f"({total(f'IF(x.v[{j}] <> 0, x.n * x.q, 0D)')} + {WORTH}D)" for j in range(n)])
+    wrong = _each([f"({total(f'IF(x.v[{j}] = -1, x.n * (1 - x.q), 0D)')} + {START * WORTH}D) / "
+                   f"({total(f'IF(x.v[{j}] <> 0, x.n * (1 - x.q), 0D)')} + {WORTH}D)" for j in range(n)])
+    prior = _each([f"({total(f'IF(x.kind = {k}, x.n * x.q, 0D)')} + 1D) / ({total(f'IF(x.kind = {k}, x.n, 0D)')} + 2D)"
+                   for k in range(len(KINDS))])
+    labelled = f"transform(votes, x -> struct(x.kind, x.v, x.n, {_posterior('p')} AS q))"
+    step = f"transform(array({labelled}), qs -> struct({right} AS right, {wrong} AS wrong, {prior} AS prior))[0]"
+    first = (f"struct(array_repeat({START}D, {n}) AS right, array_repeat({START}D, {n}) AS wrong, "
+             f"array_repeat(0.5D, {len(KINDS)}) AS prior)")
+    return rows.withColumn("p", F.expr(f"aggregate(sequence(1, {EM_STEPS}), {first}, (p, i) -> {step})"))
+
+
+def _posterior(p: str) -> str:
+    """SQL: the probability that the vote pattern x is of personal data."""
+    parts = [f"CASE x.v[{j}] WHEN 1 THEN ln({p}.right[{j}] / (1 - {p}.wrong[{j}])) "
+             f"WHEN -1 THEN ln((1 - {p}.right[{j}]) / {p}.wrong[{j}]) ELSE 0D END" for j in range(len(LABELERS))]
+    return f"1 / (1 + exp(-(ln({p}.prior[x.kind] / (1 - {p}.prior[x.kind])) + {' + '.join(parts)})))"
 
 
 def classifier(labelled: DataFrame) -> DataFrame:
@@ -245,8 +254,9 @@ def scored(found: DataFrame) -> DataFrame:
     """``found`` (the stored proposals) with odds: the classifier's log odds, null on the rows of kind -1."""
     proposed = found.filter("kind >= 0")
     patterns = stored(proposed.groupBy("kind", "code").agg(F.count("*").alias("n")), "pii-votes")
-    labels = patterns.select(F.col("kind").alias("l_kind"), F.col("code").alias("l_code"),
-                             _posterior(*reliabilities(patterns)).alias("q"))
+    labels = stored(with_reliabilities(patterns).select(F.explode(F.expr(
+        f"transform(votes, x -> struct(x.kind AS l_kind, x.code AS l_code, {_posterior('p')} AS q))")).alias("x")).select("x.*"),
+        "pii-labels")
     labelled = proposed.join(F.broadcast(labels), (F.col("kind") == F.col("l_kind")) & (F.col("code") == F.col("l_code")))
     weights = stored(classifier(labelled.select("kind", "features", "q")), "pii-weights")
     own = f"aggregate(features, weights[{len(KINDS) * FEATURES * VALUES} + kind], (a, i) -> a + weights[i])"

@@ -45,7 +45,7 @@ PATTERNS = {
     "card": r"(?=[0-9])(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "mail": rf"(?={LOCAL})(?<!{LOCAL}){LOCAL}++(?:{AT}{HOST}++(?:(?:{DOT}|\.){HOST}++)++|\x20at\x20{HOST}++(?:{DOT}{HOST}++)++)",
-    "tel": r"(?=[0-9(])(?<![0-9A-Za-z+.,/-])(?:\([0-9]{2,5}+\)|[0-9]{3,5}+)[\x20/.-][0-9]{2,4}+(?:[\x20.-][0-9]{2,4}+){1,3}+(?![\x20.-]?[0-9A-Za-z])",
+    "tel": r"(?=[0-9(])(?![0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))(?<![0-9A-Za-z+.,/-])(?:\([0-9]{2,5}+\)|[0-9]{3,5}+)[\x20/.-][0-9]{2,4}+(?:[\x20.-][0-9]{2,4}+){1,3}+(?![0-9A-Za-z])(?![\x20.-][0-9])",
     "ssn": r"(?=[0-9])(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?=[A-Z])(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3}+)?(?![0-9A-Za-z])",
     "name": rf"(?=[MDPHFS])(?<![\p{{L}}0-9])(?:{TITLES})\.?\x20{CAPITAL}{SMALL}++(?:\x20{CAPITAL}{SMALL}++)?+",
@@ -67,10 +67,11 @@ CUES = ("mail|contact|kontakt|contacto|courriel|correo|write to|tel|phone|call|f
         "address|adresse|card|karte|carte|tarjeta|visa|iban|account|konto|compte|cuenta|ssn|social security|name|signed|dear")
 COUNTER_CUES = "version|release|isbn|issn|order|invoice|ref|serial|article|part no|section|chapter|page|sha|id|nr|no"
 
-LABELERS = ["checks", "layout", "gazetteer", "cue", "counter_cue", "surroundings"]
+#: The labelers, with the share of its votes in which each is taken to be right before any is seen.
+LABELERS = {"checks": 0.95, "layout": 0.8, "gazetteer": 0.7, "cue": 0.9, "counter_cue": 0.9, "surroundings": 0.6}
+#: How many votes that first share is worth.
+WORTH = 10.0
 EM_STEPS = 12
-#: What a labeler is taken to be right in before any vote is seen, and the votes that this is worth.
-START, WORTH = 0.8, 10.0
 #: Log odds that the classifier must give for a span to be added: nine to one.
 ADD_FROM = 2.197
 FEATURES, VALUES = 6, 64
@@ -201,23 +202,23 @@ def with_reliabilities(patterns: DataFrame) -> DataFrame:
     """EM over ``patterns`` (kind, code, n; one row per kind and vote pattern). One row: ``votes``, the patterns in order,
     and ``p``: for each labeler, how often a vote on personal data is for it (``right``) and on other strings against it
     (``wrong``), and for each kind the share of personal data (``prior``)."""
-    n = len(LABELERS)
+    n, starts = len(LABELERS), list(LABELERS.values())
     votes = F.array(*[_digit(F.col("code"), j).cast("int") for j in range(n)]).alias("v")
     rows = patterns.agg(F.array_sort(F.collect_list(F.struct("kind", "code", votes, F.col("n").cast("double").alias("n")))).alias("votes"))
 
     def total(value: str) -> str:
         return f"aggregate(qs, 0D, (a, x) -> a + {value})"
 
-    right = _each([f"({total(f'IF(x.v[{j}] = 1, x.n * x.q, 0D)')} + {START * WORTH}D) / "
-                   f"({total(f'IF(x.v[{j}] <> 0, x.n * x.q, 0D)')} + {WORTH}D)" for j in range(n)])
-    wrong = _each([f"({total(f'IF(x.v[{j}] = -1, x.n * (1 - x.q), 0D)')} + {START * WORTH}D) / "
-                   f"({total(f'IF(x.v[{j}] <> 0, x.n * (1 - x.q), 0D)')} + {WORTH}D)" for j in range(n)])
+    right = _each([f"({total(f'IF(x.v[{j}] = 1, x.n * x.q, 0D)')} + {start * WORTH}D) / "
+                   f"({total(f'IF(x.v[{j}] <> 0, x.n * x.q, 0D)')} + {WORTH}D)" for j, start in enumerate(starts)])
+    wrong = _each([f"({total(f'IF(x.v[{j}] = -1, x.n * (1 - x.q), 0D)')} + {start * WORTH}D) / "
+                   f"({total(f'IF(x.v[{j}] <> 0, x.n * (1 - x.q), 0D)')} + {WORTH}D)" for j, start in enumerate(starts)])
     prior = _each([f"({total(f'IF(x.kind = {k}, x.n * x.q, 0D)')} + 1D) / ({total(f'IF(x.kind = {k}, x.n, 0D)')} + 2D)"
                    for k in range(len(KINDS))])
     labelled = f"transform(votes, x -> struct(x.kind, x.v, x.n, {_posterior('p')} AS q))"
     step = f"transform(array({labelled}), qs -> struct({right} AS right, {wrong} AS wrong, {prior} AS prior))[0]"
-    first = (f"struct(array_repeat({START}D, {n}) AS right, array_repeat({START}D, {n}) AS wrong, "
-             f"array_repeat(0.5D, {len(KINDS)}) AS prior)")
+    start = _each([f"{x}D" for x in starts])
+    first = f"struct({start} AS right, {start} AS wrong, array_repeat(0.5D, {len(KINDS)}) AS prior)"
     return rows.withColumn("p", F.expr(f"aggregate(sequence(1, {EM_STEPS}), {first}, (p, i) -> {step})"))
 
 
@@ -252,7 +253,8 @@ def classifier(labelled: DataFrame) -> DataFrame:
 
 def scored(found: DataFrame) -> DataFrame:
     """``found`` (the stored proposals) with odds: the classifier's log odds, null on the rows of kind -1."""
-    proposed = found.filter("kind >= 0")
+    # A number of too few or too many digits for a telephone tells nothing about telephone numbers.
+    proposed = found.filter(f"kind >= 0 AND (good OR kind <> {KINDS.index('tel')})")
     patterns = stored(proposed.groupBy("kind", "code").agg(F.count("*").alias("n")), "pii-votes")
     labels = stored(with_reliabilities(patterns).select(F.explode(F.expr(
         f"transform(votes, x -> struct(x.kind AS l_kind, x.code AS l_code, {_posterior('p')} AS q))")).alias("x")).select("x.*"),

@@ -34,6 +34,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as one struct column, q_doc: no name of theirs can clash with an operator's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_doc"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], text: Column | None = None) -> DataFrame:
+    """The given columns out of q_doc, with ``text`` in the place of the text if given."""
+    return rows.select(*[text.alias("text") if c == "text" and text is not None else F.col(f"q_doc.`{c}`").alias(c)
+                         for c in columns])
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightaudit.llm.common import ascii_lower, ngram_hashes, stored, table, text_or_empty, words_of
+from nightaudit.llm.common import ascii_lower, ngram_hashes, packed, stored, table, text_or_empty, unpacked, words_of
 
 #: Words stand between these characters; A-Z are lower-cased, so they are no separators.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -110,10 +110,10 @@ def contaminated() -> Column:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """``docs`` without the contaminated rows, its columns unchanged. Rows are found again by id and text."""
-    bad = (hits(docs, benchmark, n).filter(contaminated())
-           .select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_text")).distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id"))
-                     & (F.xxhash64("text") == F.col("_bad_text")), "left_anti")
+    bad = hits(docs, benchmark, n).filter(contaminated()).select("doc_id", "text_key").distinct()
+    rest = packed(docs).join(bad, F.col("q_doc.doc_id").eqNullSafe(F.col("doc_id"))
+                             & (F.xxhash64("q_doc.text") == F.col("text_key")), "left_anti")
+    return unpacked(rest, docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:

@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nightaudit.llm.common import stored, table, text_or_empty
+from nightaudit.llm.common import packed, stored, table, text_or_empty, unpacked
 
 LOCAL = "[A-Za-z0-9._%+-]"
 CAPITAL, SMALL = r"[A-ZÀ-Þ]", r"[a-zß-ÿ]"
@@ -296,7 +296,7 @@ def redact(docs: DataFrame) -> DataFrame:
     found = (scan(docs).filter("size(spans) > 0").dropDuplicates(["doc_id", "text_key"]).select(F.struct(
         "doc_id", "text_key", F.expr("array_sort(transform(spans, x -> struct(x.start AS a, x.end AS b, x.name)))").alias("spans"))
         .alias("q_pii")))
-    own = docs.select(F.struct(*docs.columns).alias("q_doc"), F.lit(0).cast("long").alias("q_none"))
+    own = packed(docs).withColumn("q_none", F.lit(0).cast("long"))
     joined = own.join(found, F.col("q_doc.doc_id").eqNullSafe(F.col("q_pii.doc_id"))
                       & (F.xxhash64("q_doc.text") == F.col("q_pii.text_key")), "left")
     text = F.expr(
@@ -304,8 +304,7 @@ def redact(docs: DataFrame) -> DataFrame:
         "greatest(st.upto, x.b) AS upto), struct(concat(st.t, substring(q_doc.text, CAST(st.upto + 1 AS int), "
         "CAST(x.a - st.upto AS int)), '[', upper(x.name), ']') AS t, x.b AS upto)), "
         "st -> concat(st.t, substring(q_doc.text, CAST(st.upto + 1 AS int))))")
-    return joined.select(*[F.when(F.col("q_pii").isNull(), F.col("q_doc.text")).otherwise(text).alias("text") if c == "text"
-                           else F.col(f"q_doc.`{c}`").alias(c) for c in docs.columns])
+    return unpacked(joined, docs.columns, F.when(F.col("q_pii").isNull(), F.col("q_doc.text")).otherwise(text))
 
 
 def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ The MCD is found by concentration steps, all of them grouped aggregates over the
 medians and median absolute deviations, keep the ``KEEP_SHARE`` of each group that lies nearest, take mean and
 covariance of those, repeat. The share is cut off at a bin edge of the distances (64 bins to a doubling), so a
 threshold is a cumulative count over a bounded number of bins and never a sort of a group; a source with a third of
-all rows is pre-aggregated before each shuffle like any other. The covariance is factored (Cholesky) and each distance
-is a forward substitution, both in columns of the row.
+all rows is pre-aggregated before each shuffle like any other, and the estimates, one row per pool, are broadcast to the
+rows after a check of their size. The covariance is factored (Cholesky) and each distance is a forward substitution, in
+one fold over arrays, which keeps the plans small: the statistics are one array, and so are the sums of a step.
 
 Two guards keep clean texts: every statistic has a least spread (``FLOOR``), without which a group where nine texts in
 ten have no symbol at all would reject the tenth; and, as ratios over few words scatter more, the estimate has for each
@@ -26,12 +27,11 @@ an empty result; repeated rows are judged row by row.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nightaudit.llm.common import SPACE_RUN, ngram_hashes, stored, table, text_or_empty, words_of
+from nightaudit.operators.lookups import sized_broadcast
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -110,117 +110,122 @@ def _pools(rows: DataFrame) -> DataFrame:
         .when(F.col("rest_n") >= MIN_GROUP, F.lit("[]")).alias("pool"))
 
 
-def _with_distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """``rows`` with q_distance, the squared Mahalanobis distance to its pool, by the covariance c_<i>_<j> with b_<stat>
-    for each unit by which 1 / words lies above the pool's mean (null without an estimate)."""
-    own = estimate.withColumnRenamed("pool", "e_pool")
-    out = rows.join(own, F.col("pool") == F.col("e_pool"), "left")
-    p = len(STATS)
-    out = out.withColumn("shorter", F.greatest(_per_word() - F.col("u_mean"), F.lit(0.0)))
-    total = F.lit(0.0)
-    for j, stat in enumerate(STATS):  # column by column; each needs those before it
-        s = F.col(f"c_{j}_{j}") + F.col(f"b_{stat}") * F.col("shorter")
-        for k in range(j):
-            s = s - F.col(f"l_{j}_{k}") * F.col(f"l_{j}_{k}")
-        out = out.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(s, F.lit(FLOOR[stat] ** 2 * 1e-3))))
-        z = F.col(stat) - F.col(f"m_{stat}")
-        for k in range(j):
-            z = z - F.col(f"l_{j}_{k}") * F.col(f"z_{k}")
-        made = {f"z_{j}": z / F.col(f"l_{j}_{j}")}
-        for i in range(j + 1, p):
-            s = F.col(f"c_{i}_{j}")
-            for k in range(j):
-                s = s - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            made[f"l_{i}_{j}"] = s / F.col(f"l_{j}_{j}")
-        out = out.withColumns(made)
-        total = total + F.col(f"z_{j}") * F.col(f"z_{j}")
-    return out.withColumn("q_distance", total).drop(
-        "e_pool", "shorter", *[c for c in estimate.columns if c != "pool"], *[f"z_{i}" for i in range(p)],
-        *[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)])
+def _at(i: int, j: int) -> int:
+    """Place of (i, j), j <= i, in a lower triangle stored row by row."""
+    return i * (i + 1) // 2 + j
 
 
 def _per_word() -> Column:
     return F.lit(1.0) / F.greatest(F.col("q_n_words"), F.lit(1))
 
 
-def _estimate(moments: DataFrame, center: dict[str, Column], cov: dict[tuple[str, str], Column],
-              u_mean: Column, slope: dict[str, Column]) -> DataFrame:
-    """(pool, m_<stat>, c_<i>_<j>, u_mean, b_<stat>): centres, covariance with the least spread added, the mean of
-    1 / words and the variance that each statistic gains with it."""
-    return moments.select("pool", *[center[s].alias(f"m_{s}") for s in STATS], u_mean.alias("u_mean"),
-                          *[cov[a, b].alias(f"c_{i}_{j}") for i, a in enumerate(STATS) for j, b in enumerate(STATS[:i + 1])],
-                          *[slope[s].alias(f"b_{s}") for s in STATS])
+def _doubles(values) -> str:
+    return f"array({', '.join(f'{float(v)!r}D' for v in values)})"
+
+
+#: SQL: the squared Mahalanobis distance of x to the centre m, by the covariance c (lower triangle) with b for each unit of
+#: ``shorter`` on its diagonal. Row by row of the Cholesky factor: ``l`` holds the rows so far, ``z`` the solved part.
+_DISTANCE = f"""aggregate(sequence(0, {len(STATS) - 1}),
+  struct(CAST(array() AS array<double>) AS l, CAST(array() AS array<double>) AS z, 0D AS d),
+  (st, i) -> transform(array(aggregate(sequence(0, i), CAST(array() AS array<double>), (r, j) -> concat(r, array(IF(j < i,
+      (c[i * (i + 1) div 2 + j] - aggregate(sequence(0, j), 0D, (a, k) -> a + IF(k < j, r[k] * st.l[j * (j + 1) div 2 + k], 0D)))
+        / st.l[j * (j + 1) div 2 + j],
+      sqrt(greatest(c[i * (i + 1) div 2 + i] + b[i] * shorter - aggregate(r, 0D, (a, v) -> a + v * v),
+        {_doubles(FLOOR[k] ** 2 * 1e-3 for k in STATS)}[i]))))))), r ->
+    transform(array((x[i] - m[i] - aggregate(zip_with(slice(r, 1, i), st.z, (u, v) -> u * v), 0D, (a, v) -> a + v)) / r[i]),
+      z -> struct(concat(st.l, r) AS l, concat(st.z, array(z)) AS z, st.d + z * z AS d))[0])[0],
+  st -> st.d)"""
+
+
+def _with_distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """``rows`` with q_distance, the squared Mahalanobis distance to its pool, by the covariance c with b for each unit by
+    which 1 / words lies above the pool's mean (null without an estimate)."""
+    own = sized_broadcast(estimate.withColumnRenamed("pool", "e_pool"))
+    out = rows.join(own, F.col("pool") == F.col("e_pool"), "left")
+    out = out.withColumn("shorter", F.greatest(_per_word() - F.col("u_mean"), F.lit(0.0)))
+    return out.withColumn("q_distance", F.when(F.col("e_pool").isNotNull(), F.expr(_DISTANCE))).drop(
+        "e_pool", "shorter", "m", "c", "b", "u_mean")
+
+
+#: SQL: what the estimate sums over its texts: 1, u, u^2, x, x u, x^2 u and the products of x (lower triangle).
+_MOMENTS = """concat(array(1D, u, u * u), x, transform(x, v -> v * u), transform(x, v -> v * v * u),
+  flatten(transform(x, (v, i) -> transform(slice(x, 1, i + 1), w -> v * w))))"""
 
 
-def _floor(a: str, b: str) -> Column:
-    return F.lit(FLOOR[a] ** 2 if a == b else 0.0)
+def _estimate_of(sums: DataFrame) -> DataFrame:
+    """(pool, m, c, u_mean, b) from (pool, v): centre, covariance with the least spread added, the mean of 1 / words and
+    the variance that each statistic gains with it."""
+    p = len(STATS)
+    first = {"x": 3, "xu": 3 + p, "xxu": 3 + 2 * p, "xx": 3 + 3 * p}
+    mean = [f"(v[{first['x'] + i}] / v[0])" for i in range(p)]
+    cov = {(i, j): f"(v[{first['xx'] + _at(i, j)}] / v[0] - {mean[i]} * {mean[j]})" for i in range(p) for j in range(i + 1)}
+    u_mean, u_var = "(v[1] / v[0])", "(v[2] / v[0] - v[1] / v[0] * v[1] / v[0])"
+    floors = [FLOOR[k] ** 2 for k in STATS]
+    c = [f"{cov[i, j]} / {CONSISTENCY}D + {floors[i] if i == j else 0.0!r}D" for i in range(p) for j in range(i + 1)]
+    b = []
+    for i in range(p):
+        with_u = f"(v[{first['xxu'] + i}] - 2 * {mean[i]} * v[{first['xu'] + i}] + {mean[i]} * {mean[i]} * v[1]) / v[0]"
+        b.append(f"IF({u_var} > 1e-12D, greatest(({with_u} - {cov[i, i]} * {u_mean}) / {u_var}, 0D) / {CONSISTENCY}D, 0D)")
+    return sums.select("pool", *[F.expr(e).alias(name) for name, e in (
+        ("m", f"array({', '.join(mean)})"), ("c", f"array({', '.join(c)})"), ("u_mean", u_mean), ("b", f"array({', '.join(b)})"))])
 
 
 def mcd_estimates(rows: DataFrame) -> DataFrame:
-    """``rows``: pool, q_n_words and the statistics of the texts to learn from, stored. One estimate per pool."""
-    start = rows.groupBy("pool").agg(*[F.percentile_approx(s, 0.5, 10000).alias(f"med_{s}") for s in STATS])
-    near = rows.join(start.withColumnRenamed("pool", "e_pool"), F.col("pool") == F.col("e_pool"))
-    spread = near.groupBy("pool").agg(
-        *[F.first(f"med_{s}").alias(f"med_{s}") for s in STATS],
-        *[F.percentile_approx(F.abs(F.col(s) - F.col(f"med_{s}")), 0.5, 10000).alias(f"mad_{s}") for s in STATS])
-    estimate = stored(_estimate(
-        spread, {s: F.col(f"med_{s}") for s in STATS},
-        {(a, b): F.pow(F.col(f"mad_{a}") * 1.4826, 2) + _floor(a, b) if a == b else F.lit(0.0)
-         for a in STATS for b in STATS}, F.lit(0.0), {s: F.lit(0.0) for s in STATS}), "mcd-start")
-    u = _per_word()
+    """``rows``: pool, q_n_words and x (the statistics) of the texts to learn from, stored. One estimate per pool."""
+    p = len(STATS)
+    start = rows.groupBy("pool").agg(F.array(*[F.percentile_approx(F.col("x")[i], 0.5, 10000) for i in range(p)]).alias("m"))
+    near = rows.join(sized_broadcast(stored(start, "mcd-medians").withColumnRenamed("pool", "e_pool")), F.col("pool") == F.col("e_pool"))
+    spread = near.groupBy("pool").agg(F.first("m").alias("m"), F.array(
+        *[F.percentile_approx(F.abs(F.col("x")[i] - F.col("m")[i]), 0.5, 10000) for i in range(p)]).alias("mad"))
+    c = [f"pow(mad[{i}] * 1.4826D, 2) + {FLOOR[STATS[i]] ** 2!r}D" if i == j else "0D" for i in range(p) for j in range(i + 1)]
+    estimate = stored(spread.select("pool", "m", F.expr(f"array({', '.join(c)})").alias("c"), F.lit(0.0).alias("u_mean"),
+                                    F.expr(f"array_repeat(0D, {p})").alias("b")), "mcd-start")
     for step in range(STEPS):
-        scored = _with_distance(rows, estimate).withColumn("bin", F.when(
+        binned = _with_distance(rows, estimate).withColumn("bin", F.when(
             F.col("q_distance") <= 1e-6, F.lit(-20 * BINS_PER_DOUBLING)).otherwise(
-            F.ceil(F.log2("q_distance") * BINS_PER_DOUBLING)).cast("int"))
-        by_bin = scored.groupBy("pool", "bin").agg(
-            F.count("*").alias("n"), *[F.sum(s).alias(f"s_{s}") for s in STATS],
-            F.sum(u).alias("u"), F.sum(u * u).alias("uu"), *[F.sum(F.col(s) * u).alias(f"su_{s}") for s in STATS],
-            *[F.sum(F.col(s) * F.col(s) * u).alias(f"xu_{s}") for s in STATS],
-            *[F.sum(F.col(a) * F.col(b)).alias(f"x_{i}_{j}")
-              for i, a in enumerate(STATS) for j, b in enumerate(STATS[:i + 1])])
+            F.ceil(F.log2("q_distance") * BINS_PER_DOUBLING)).cast("int")).withColumn("u", _per_word())
+        by_place = binned.select("pool", "bin", F.posexplode(F.expr(_MOMENTS)).alias("place", "v")).groupBy(
+            "pool", "bin", "place").agg(F.sum("v").alias("v"))
+        by_bin = by_place.groupBy("pool", "bin").agg(F.array_sort(F.collect_list(F.struct("place", "v"))).alias("v")).select(
+            "pool", "bin", F.transform("v", lambda x: x["v"]).alias("v"))
         # The nearest KEEP_SHARE of a pool: whole bins, up to the one that completes the share.
         in_order = Window.partitionBy("pool").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        inside = (by_bin.withColumn("before", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
-                  .withColumn("all_n", F.sum("n").over(Window.partitionBy("pool")))
+        inside = (by_bin.withColumn("before", F.coalesce(F.sum(F.col("v")[0]).over(in_order), F.lit(0.0)))
+                  .withColumn("all_n", F.sum(F.col("v")[0]).over(Window.partitionBy("pool")))
                   .filter(F.col("before") < F.col("all_n") * KEEP_SHARE))
-        sums = inside.groupBy("pool").agg(*[F.sum(c).alias(c) for c in by_bin.columns if c not in ("pool", "bin")])
-        center = {s: F.col(f"s_{s}") / F.col("n") for s in STATS}
-        cov = {(a, b): (F.col(f"x_{i}_{j}") / F.col("n") - center[a] * center[b]) / CONSISTENCY + _floor(a, b)
-               for i, a in enumerate(STATS) for j, b in enumerate(STATS[:i + 1])}
-        u_mean = F.col("u") / F.col("n")
-        u_var = F.col("uu") / F.col("n") - u_mean * u_mean
-        slope = {}
-        for i, s in enumerate(STATS):
-            var = F.col(f"x_{i}_{i}") / F.col("n") - center[s] * center[s]
-            with_u = (F.col(f"xu_{s}") - F.lit(2.0) * center[s] * F.col(f"su_{s}") + center[s] * center[s] * F.col("u")) / F.col("n")
-            slope[s] = F.when(u_var > 1e-12, F.greatest((with_u - var * u_mean) / u_var, F.lit(0.0)) / CONSISTENCY).otherwise(
-                F.lit(0.0))
-        estimate = stored(_estimate(sums, center, cov, u_mean, slope), f"mcd-step{step}")
+        sums = inside.groupBy("pool").agg(F.array_sort(F.collect_list(F.struct("bin", "v"))).alias("bins")).select("pool", F.expr(
+            "aggregate(slice(bins, 2, size(bins)), bins[0].v, (a, y) -> zip_with(a, y.v, (s, t) -> s + t))").alias("v"))
+        estimate = stored(_estimate_of(sums), f"mcd-step{step}")
     return estimate
 
 
-def score(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The given columns of ``docs``, the base counts (q_n_words, q_word_chars, q_n_symbols, q_n_dup_lines,
-    q_n_repeat_words), q_base_failed, q_distance and q_kept, one row per row of ``docs``. The texts are read once; the
-    counts and the given columns are stored, and the estimates read only the counts."""
-    rows = _per_text(docs.select(*columns, *[F.col(c).alias(a) for c, a in (
-        ("lang", "q_lang"), ("source", "q_source"))], *([] if "text" in columns else ["text"])))
-    if "text" not in columns:
-        rows = rows.drop("text")
-    rows = stored(rows.withColumns(_vector()).withColumn("q_base_failed", base_failed()), "quality-counts")
-    pools = stored(_pools(rows), "quality-pools")
+def _scored(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """q_doc (the columns ``carried`` of ``docs`` as a struct), the base counts, q_base_failed, q_distance and q_kept. The
+    texts are read once; the counts and what is carried are stored, and the estimates read only the counts."""
+    rows = _per_text(docs.select(F.struct(*carried).alias("q_doc"), "text", F.col("lang").alias("q_lang"),
+                                 F.col("source").alias("q_source"))).drop("text")
+    rows = stored(rows.withColumn("x", F.array(*_vector().values())).withColumn("q_base_failed", base_failed()), "quality-counts")
+    pools = sized_broadcast(stored(_pools(rows), "quality-pools"))
     rows = rows.join(pools, F.col("q_lang").eqNullSafe(F.col("g_lang"))
                      & F.col("q_source").eqNullSafe(F.col("g_source")), "left").drop("g_lang", "g_source")
-    learn = rows.filter(~F.col("q_base_failed") & F.col("pool").isNotNull()).select("pool", "q_n_words", *STATS)
-    estimate = mcd_estimates(learn)
-    scored = _with_distance(rows, estimate)
+    learn = rows.filter(~F.col("q_base_failed") & F.col("pool").isNotNull()).select("pool", "q_n_words", "x")
+    scored = _with_distance(rows, mcd_estimates(learn))
     return scored.withColumn("q_kept", ~F.col("q_base_failed") & ~F.coalesce(
         F.col("q_distance") > CUTOFF, F.lit(False)))
 
 
+COUNTS = ["q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words"]
+
+
+def score(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns of ``docs`` (names that do not begin with q_), the base counts (``COUNTS``), q_base_failed,
+    q_distance and q_kept, one row per row of ``docs``."""
+    return _scored(docs, columns).select("q_doc.*", *COUNTS, "q_base_failed", "q_distance", "q_kept")
+
+
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The kept rows of ``docs`` with its columns. The statistic names must not be columns of ``docs``."""
-    return score(docs, docs.columns).filter("q_kept").select(*docs.columns)
+    """The kept rows of ``docs`` with its columns, whatever their names."""
+    return _scored(docs, docs.columns).filter("q_kept").select("q_doc.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

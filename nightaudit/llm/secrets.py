@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nightaudit.llm.common import table, text_or_empty
+from nightaudit.llm.common import packed, table, text_or_empty, unpacked
 
 #: The patterns of the base kinds. The keyword letters stand in either case.
 ASSIGN = (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"
@@ -179,14 +179,13 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
                     "IF(size(m) > 0 AND m[size(m) - 1].b > x.start, concat(slice(m, 1, size(m) - 1), "
                     "array(struct(m[size(m) - 1].a AS a, greatest(m[size(m) - 1].b, x.end) AS b))), "
                     "concat(m, array(struct(x.start AS a, x.end AS b)))))")
-    pieces = F.expr("array_join(transform(sequence(0, size(q_merged)), i -> substring(text, "
+    pieces = F.expr("array_join(transform(sequence(0, size(q_merged)), i -> substring(q_doc.text, "
                     "CAST(IF(i = 0, 0, q_merged[greatest(i - 1, 0)].b) + 1 AS int), "
-                    "CAST(IF(i = size(q_merged), length(text), get(q_merged, i).a) "
+                    "CAST(IF(i = size(q_merged), length(q_doc.text), get(q_merged, i).a) "
                     "- IF(i = 0, 0, q_merged[greatest(i - 1, 0)].b) AS int))), q_mark)")
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("q_id")) & (F.xxhash64("text") == F.col("q_key")), "left")
-    joined = joined.withColumn("q_merged", merged).withColumn("q_mark", F.lit(mark))
-    return joined.withColumn("text", F.when(F.col("q_spans").isNull(), F.col("text")).otherwise(pieces)).select(
-        *docs.columns)
+    joined = packed(docs).join(found, F.col("q_doc.doc_id").eqNullSafe(F.col("q_id")) & (F.xxhash64("q_doc.text") == F.col("q_key")),
+                               "left").withColumn("q_merged", merged).withColumn("q_mark", F.lit(mark))
+    return unpacked(joined, docs.columns, F.when(F.col("q_spans").isNull(), F.col("q_doc.text")).otherwise(pieces))
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

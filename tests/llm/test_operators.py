@@ -379,3 +379,33 @@ def test_language_undetermined(docs, edge_rows):
     h = np.concatenate([np.maximum((np.concatenate([e[:, j:langid.WINDOW - w + 1 + j] for j in range(w)], axis=2) @ p[f"filter{w}"]
                                     + p[f"bias{w}"]).max(axis=1), 0) for w in langid.WIDTHS], axis=1)
     assert np.allclose(net.predict(x, net.tables()), net._softmax(h), atol=1e-4)
+
+
+# ---- columns of the table that are called like the operators' own
+
+CLASHES = ["pool", "symbols", "capitals", "repeats", "bin", "x", "m", "c", "b", "q_doc", "q_id", "q_key", "q_spans", "_bad_id",
+           "q_gone", "text_key", "set_key", "kept", "spans", "row_key", "kind", "start", "word", "Key", "unit"]
+
+
+@pytest.mark.parametrize("name", ["quality", "near_dup", "decontamination", "secrets"])
+def test_filters_pass_clashing_columns(docs, edge_rows, name):
+    d = docs(edge_rows).drop("words", "key", "label").withColumns({c: F.lit(f"own {c}") for c in CLASHES})
+    bench = d.sparkSession.createDataFrame([(7, "repeated row with several plain words in it")], "item_id long, text string")
+    out = {"quality": lambda x: quality.filter_documents(x), "near_dup": near_dup.keep_one, "secrets": secrets.redact,
+           "decontamination": lambda x: decontamination.remove_documents(x, bench)}[name]
+    made = out(d)
+    assert made.columns == d.columns
+    rows = made.collect()
+    assert rows or name == "quality"
+    assert all(r[c] == f"own {c}" for r in rows for c in CLASHES)
+    assert out(d.limit(0)).count() == 0
+
+
+def test_keep_one_keeps_every_different_text(docs):
+    a, b = "one two three four five six seven eight nine ten", "north south east west up down left right in out"
+    other = "red green blue yellow orange purple black white pink grey"
+    rows = [(3, a, "en", "a"), (7, a, "en", "a"), (7, b, "en", "a"), (8, other, "en", "a"), (8, b + " on", "en", "a"),
+            (3, a, "en", "a"), (3, a.replace(" ", "  "), "en", "a"), (9, None, "en", "a"), (9, None, "en", "a"), (None, a, "en", "a")]
+    # The second text of 8 is nearly the second text of 7.
+    kept = sorted((str(r.doc_id), " ".join((r.text or "-").split())) for r in near_dup.keep_one(docs(rows)).collect())
+    assert kept == sorted([("3", a), ("7", b), ("8", other), ("9", "-"), ("9", "-"), ("None", a)])

@@ -137,8 +137,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 _lists(_keys(sig)), _lists(_sketches(sig)), b.column(2)],
-                names=["doc_id", "n_shingles", "set_key", "bands", "sketch", "text_key"])
+                 _lists(_keys(sig)), _lists(_sketches(sig))],
+                names=["doc_id", "n_shingles", "set_key", "bands", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +208,8 @@ def components(links: DataFrame, name: str = "near-dup-labels") -> DataFrame:
 
 def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): per document its set key, and per distinct set its smallest doc_id, bands and sketch."""
-    rows = stored(docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64("text").alias("text_key")).mapInArrow(
-        _signed, "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch array<long>, text_key long"),
-        "near-dup-rows")
+    rows = stored(docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+        _signed, "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch array<long>"), "near-dup-rows")
     classes = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
         "set_key", "n_shingles", "bands", "sketch").agg(F.min("doc_id").alias("node"))
     return rows, stored(classes, "near-dup-classes")
@@ -264,43 +263,47 @@ def links_of(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept, n_links (links of its class to other texts that
-    were needed or found), set_key and text_key (64-bit hash of the text)."""
+    were needed or found) and set_key."""
     rows, classes = classes_of(docs)
     links, labels = links_of(docs, classes)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     found = stored(classes.select("set_key", "node").join(labels, "node", "left").join(degree, "node", "left").select(
         F.col("set_key").alias("k"), F.coalesce("label", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
         "near-dup-components")
-    out = rows.select("doc_id", "n_shingles", "set_key", "text_key").join(found, F.col("set_key") == F.col("k"), "left")
+    out = rows.select("doc_id", "n_shingles", "set_key").join(found, F.col("set_key") == F.col("k"), "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
-                      F.coalesce("n_links", F.lit(0)).alias("n_links"), "set_key", "text_key")
+                      F.coalesce("n_links", F.lit(0)).alias("n_links"), "set_key")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component of ``docs``, with its columns; rows without shingles or doc_id all stay. A doc_id that
-    stands for several texts is judged text by text: a component whose smallest doc_id also has other texts keeps each of
-    its different texts once."""
-    found = stored(near_duplicates(docs).filter("n_shingles > 0 AND doc_id IS NOT NULL").select(
-        "doc_id", "text_key", "set_key", "kept"), "near-dup-result")
-    # Of a kept id's texts with the same shingles, one stays.
-    chosen = found.filter("kept").groupBy("doc_id", "set_key").agg(F.min("text_key").alias("chosen"), F.count("*").alias("n"))
-    spare = found.filter("kept").join(chosen.filter("n > 1").drop("n"), ["doc_id", "set_key"]).filter("text_key <> chosen")
-    gone = found.filter("NOT kept").select("doc_id", "text_key").union(spare.select("doc_id", "text_key")).distinct()
-    own = packed(docs).withColumns({"doc_id": F.col("q_doc.doc_id"), "text_key": F.xxhash64("q_doc.text")})
-    rest = own.join(gone, ["doc_id", "text_key"], "left_anti")
-    # Rows that repeat a kept id and its text: one of them stays.
-    again = stored(found.filter("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1").drop("n"),
-                   "near-dup-again")
+    """One row of each component of ``docs``, the one with the smallest doc_id, with its columns; rows without shingles or
+    doc_id all stay. Of a doc_id's different texts, all but one count as documents of their own that come after all others,
+    so that no text goes for another one's copies."""
+    rows = packed(docs).withColumns({"doc_id": F.col("q_doc.doc_id"), "text_key": F.xxhash64("q_doc.text")})
+    ids = rows.filter("doc_id IS NOT NULL").select("doc_id", "text_key")
+    several = ids.groupBy("doc_id").agg(F.min("text_key").alias("first"), F.max("text_key").alias("last")).filter("first <> last")
+    more = stored(ids.join(several, "doc_id").filter("text_key <> first").select("doc_id", "text_key").distinct(), "near-dup-more-texts")
+    if not more.isEmpty():
+        top = ids.agg(F.max("doc_id").alias("top"))  # one row
+        named = stored(more.crossJoin(F.broadcast(top)).withColumn("own_id", F.col("top") + 1 + F.monotonically_increasing_id()),
+                       "near-dup-own-ids").drop("top")
+        rows = rows.join(named, ["doc_id", "text_key"], "left").withColumn("doc_id", F.coalesce("own_id", "doc_id"))
+    found = stored(near_duplicates(rows.select("doc_id", F.col("q_doc.text").alias("text"))), "near-dup-result")
+    gone = found.filter("NOT kept").select("doc_id").distinct()
+    rest = rows.join(gone, "doc_id", "left_anti")
+    # Rows that repeat a kept document: one of them stays.
+    again = stored(found.filter("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("n")).filter("n > 1").select("doc_id"), "near-dup-again")
     if not again.isEmpty():
-        repeated = rest.join(again, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
-        rest = rest.join(again, ["doc_id", "text_key"], "left_anti").unionByName(repeated)
+        repeated = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        rest = rest.join(again, "doc_id", "left_anti").unionByName(repeated)
     return unpacked(rest, docs.columns)
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("set_key", "text_key")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("set_key")
 
 
 QUERIES = {"op4_minhash_near_dedup": op4_minhash_near_dedup}

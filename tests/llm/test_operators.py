@@ -406,6 +406,7 @@ def test_keep_one_keeps_every_different_text(docs):
     other = "red green blue yellow orange purple black white pink grey"
     rows = [(3, a, "en", "a"), (7, a, "en", "a"), (7, b, "en", "a"), (8, other, "en", "a"), (8, b + " on", "en", "a"),
             (3, a, "en", "a"), (3, a.replace(" ", "  "), "en", "a"), (9, None, "en", "a"), (9, None, "en", "a"), (None, a, "en", "a")]
-    # The second text of 8 is nearly the second text of 7.
     kept = sorted((str(r.doc_id), " ".join((r.text or "-").split())) for r in near_dup.keep_one(docs(rows)).collect())
-    assert kept == sorted([("3", a), ("7", b), ("8", other), ("9", "-"), ("9", "-"), ("None", a)])
+    # The second texts of 7 and of 8 are nearly the same: one of them stays.
+    assert [x for x in kept if not x[1].startswith("north")] == sorted([("3", a), ("8", other), ("9", "-"), ("9", "-"), ("None", a)])
+    assert [x for x in kept if x[1].startswith("north")] in ([("7", b)], [("8", b + " on")])

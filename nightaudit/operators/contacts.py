@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightaudit.operators.lookups import unique_on
+from nightaudit.operators.lookups import checked, rows_per_key
 
 
 def _preferred(cond: Column) -> Column:
@@ -24,7 +24,8 @@ def _preferred(cond: Column) -> Column:
 
 
 def preferred_contact(name_phone: DataFrame, name_document: DataFrame) -> DataFrame:
-    """(name_id, id_number, email, mobilephone), one row per profile with any contact.
+    """(name_id, id_number, email, mobilephone, _docs_n), one row per profile with any contact; ``with_contacts`` raises
+    on the profiles it is asked for that have two documents of a kind.
 
     email       = get_phone_no(id, 'EMAIL')
     mobilephone = COALESCE(get_phone_no(id, 'MOBILE', 'PHONE'), get_phone_no(id, 'PHONE'))
@@ -35,8 +36,14 @@ def preferred_contact(name_phone: DataFrame, name_document: DataFrame) -> DataFr
         _preferred(ptype == "EMAIL").alias("email"),
         F.coalesce(_preferred((ptype == "MOBILE") & (prole == "PHONE")),
                    _preferred(ptype == "PHONE")).alias("mobilephone"))
-    docs = unique_on(name_document, ["name_id", "kind"], ["doc_number"], "name_document")
-    ids = docs.groupBy("name_id").agg(
+    docs = rows_per_key(name_document, ["name_id", "kind"], ["doc_number"])
+    ids = docs.groupBy("name_id").agg(F.max("_n").alias("_docs_n"),
         F.coalesce(F.max(F.when(F.col("kind") == "TCKN", F.col("doc_number"))),
                    F.max(F.when(F.col("kind") == "PASSPORT", F.col("doc_number")))).alias("id_number"))
-    return ids.join(phones, "name_id", "full").select("name_id", "id_number", "email", "mobilephone")
+    return ids.join(phones, "name_id", "full").select("name_id", "id_number", "email", "mobilephone", "_docs_n")
+
+
+def with_contacts(fact: DataFrame, name_phone: DataFrame, name_document: DataFrame) -> DataFrame:
+    """``fact`` with id_number, email and mobilephone of its name_id."""
+    joined = fact.join(preferred_contact(name_phone, name_document), "name_id", "left")
+    return checked(joined, "_docs_n", ["id_number"], "name_document", ["name_id"])

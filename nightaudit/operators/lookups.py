@@ -60,15 +60,24 @@ def join_per_key(fact: DataFrame, per_key: DataFrame, on: dict[str, str], count:
     return f.join(d, cond, "left").drop("_spread", "_zero")
 
 
-def unique_on(dim: DataFrame, keys: Sequence[str], values: Sequence[str], what: str) -> DataFrame:
-    """One row per key; raise if a key has several rows (Oracle: ORA-01427)."""
-    keys = list(keys)
-    agg = dim.where(_all_not_null(keys)).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.max(v).alias(v) for v in values])
-    guard = F.col("_n") > 1
+def checked(joined: DataFrame, count: str, columns: Sequence[str], what: str, keys: Sequence[str]) -> DataFrame:
+    """``joined`` is a left join with a table of one row per key that carries the key's rows in ``count``: ``columns`` raise
+    on a row whose key has several (Oracle: ORA-01427). A duplicate that no row asks for does no harm. Drops ``count``."""
     err = F.raise_error(F.concat(F.lit(f"single-row lookup on {what} returned more than one row for key "),
                                  F.to_json(F.struct(*keys))))
-    return agg.select(*keys, *[F.when(guard, err).otherwise(F.col(v)).alias(v) for v in values])
+    return joined.withColumns({c: F.when(F.col(count) > 1, err).otherwise(F.col(c)) for c in columns}).drop(count)
+
+
+def with_resort(fact: DataFrame, info: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``fact`` with columns of ``plans.detail.resort_info`` (all, or ``columns``) by its resort."""
+    counts = [c for c in ("_resort_n", "_open_n") if c in info.columns]
+    wanted = list(columns or [c for c in info.columns if c != "resort" and c not in counts])
+    out = fact.join(info.select("resort", *wanted, *counts), "resort", "left")
+    for count, what in (("_resort_n", "resort"), ("_open_n", "open business date")):
+        if count in counts:
+            own = [c for c in wanted if (c == "open_business_date") == (count == "_open_n")]
+            out = checked(out, count, own, what, ["resort"]) if own else out.drop(count)
+    return out
 
 
 def _all_not_null(keys: Sequence[str]) -> Column:
@@ -140,12 +149,12 @@ def first_account_code(ar_account: DataFrame, ppor_ar: DataFrame) -> DataFrame:
 def departure_day(dn: DataFrame, e: DataFrame, rn: DataFrame) -> DataFrame:
     """J12g: the nightly row of a stay's departure day (four lookups, one join).
 
-    Returns (resort, resv_name_id, travel_agent_id, company_id, group_id, adults),
-    unique per stay or an error.
+    Returns (resort, resv_name_id, travel_agent_id, company_id, group_id, adults, _dep_n), one row per stay;
+    the caller raises on the stays it uses (``checked``).
     """
     slots = e.select("resort", "reservation_date", "resv_daily_el_seq")
     dep = (rn.select("resort", "resv_name_id", F.col("trunc_end_date").alias("reservation_date"))
            .join(dn, ["resort", "resv_name_id", "reservation_date"])
            .join(slots, ["resort", "reservation_date", "resv_daily_el_seq"]))
-    return unique_on(dep, ["resort", "resv_name_id"],
-                     ["travel_agent_id", "company_id", "group_id", "adults"], "departure day")
+    return rows_per_key(dep, ["resort", "resv_name_id"], ["travel_agent_id", "company_id", "group_id", "adults"]
+                        ).withColumnRenamed("_n", "_dep_n")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightaudit.operators.lookups import sized_broadcast, unique_on
+from nightaudit.operators.lookups import lookup, sized_broadcast
+from nightaudit.sources.schemas import in_dates
 
 MONEY = "decimal(18,4)"
 
@@ -45,13 +46,9 @@ def ledger_detail(ft: DataFrame, trx_codes: DataFrame, resort: str | None = None
             & (F.coalesce(F.col("invoice_type"), F.lit("@")) != "CR"))
     if resort is not None:
         cond = cond & (F.col("resort") == resort)
-    if d_from is not None:
-        cond = cond & (F.col("trx_date") >= F.lit(d_from).cast("date"))
-    if d_to is not None:
-        cond = cond & (F.col("trx_date") <= F.lit(d_to).cast("date"))
     codes = sized_broadcast(trx_codes.where(F.col("trx_code_type") != "X")
                             .select("resort", "trx_code", "trx_code_type"))
-    postings = (ft.where(cond)
+    postings = (in_dates(ft.where(cond), "trx_date", d_from, d_to)
                 .select("trx_no", "resort", "trx_code", "trx_date", "resv_name_id", "original_resv_name_id",
                         "net_amount", "gross_amount", "tax_inclusive_yn", "trx_no_against_package")
                 .join(codes, ["resort", "trx_code"]))
@@ -119,11 +116,9 @@ def revenue_classes(ft: DataFrame, trx_codes: DataFrame, resort_products: DataFr
                 .select("trx_no", "resort", "trx_code", "original_resv_name_id", "bill_no", "product",
                         "gross_amount", "tax_inclusive_yn"))
     codes = sized_broadcast(trx_codes.select("resort", "trx_code", "trx_code_type"))
-    groups = sized_broadcast(unique_on(resort_products, ["resort", "product"], ["pkg_forcast_group"],
-                                       "resort_products"))
-    p = (postings.join(codes, ["resort", "trx_code"])
-         .join(groups, ["resort", "product"], "left")
-         .join(child_tax(ft, trx_codes), "trx_no", "left"))
+    p = lookup(postings.join(codes, ["resort", "trx_code"]), resort_products, {"resort": "resort", "product": "product"},
+               {"pkg_forcast_group": "pkg_forcast_group"}, "resort_products")
+    p = p.join(child_tax(ft, trx_codes), "trx_no", "left")
     total = F.col("gross_amount") + calc_tax(F.col("tax_inclusive_yn"), F.col("child_tax"))
     ctype = F.col("trx_code_type")
     in_pkg = F.col("pkg_forcast_group").isNotNull() & ~F.coalesce(ctype, F.lit("@")).isin("L", "X")

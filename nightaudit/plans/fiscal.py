@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from nightaudit.functions.oracle import is_fractional, text_concat, to_char_int, to_char_money
 from nightaudit.operators.lists import ordered_text_list
-from nightaudit.operators.lookups import sized_broadcast, stored, unique_on
+from nightaudit.operators.lookups import lookup, sized_broadcast, stored
 from nightaudit.operators.revenue import calc_tax_percentage, child_tax
 
 FOLIO = ["resort", "resv_name_id", "folio_view"]
@@ -36,12 +36,11 @@ MSG_RULE5 = "RuleErr(5): The total amount must be an integer. Users must rebate
 MSG_TERMINAL = "terminal not found or not unique"
 
 def _deposit_codes(t) -> DataFrame:
-    """U3 ``ppf.get_param(resort, 'DEPOSIT_LED_TRX_CODE')`` as a (resort, deposit_code) table."""
-    p = t["params"].where(F.col("param") == DEPOSIT_PARAM)
-    return unique_on(p, ["resort"], ["value"], "params").withColumnRenamed("value", "deposit_code")
+    """U3 ``ppf.get_param(resort, 'DEPOSIT_LED_TRX_CODE')`` as a (resort, value) table."""
+    return t["params"].where(F.col("param") == DEPOSIT_PARAM).select("resort", "value")
 
 
-def _postings(t, bills: DataFrame | None = None, small_batch: bool = False) -> DataFrame:
+def posting_rows(t, bills: DataFrame | None = None, small_batch: bool = False, more: list[str] | None = None) -> DataFrame:
     """Postings with their code attributes (inner join, as the reference) and
     the resort's deposit code.
 
@@ -54,17 +53,17 @@ def _postings(t, bills: DataFrame | None = None, small_batch: bool = False) -> D
                                                   "cc_type", "ind_billing"))
     ft = t["financial_transactions"].select(
         "trx_no", *FOLIO, "bill_no", "trx_code", "ft_subtype", "trx_no_added_by", "gross_amount", "net_amount",
-        "tax_inclusive_yn", "arrangement_id", "guest_account_credit", "guest_account_debit")
+        "tax_inclusive_yn", "arrangement_id", "guest_account_credit", "guest_account_debit", *(more or []))
     if bills is not None:
         folios = bills.select(*FOLIO).distinct()
         if small_batch:  # at most one row per bill of the batch
             folios = sized_broadcast(folios)
         ft = ft.join(folios, FOLIO, "left_semi")
-    return (ft.join(codes, ["resort", "trx_code"])
-            .join(sized_broadcast(_deposit_codes(t)), "resort", "left"))
+    return lookup(ft.join(codes, ["resort", "trx_code"]), _deposit_codes(t), {"resort": "resort"},
+                  {"value": "deposit_code"}, "params")
 
 
-def _per_bill(bills: DataFrame, rows: DataFrame, group: list[str], sums: dict[str, str]) -> DataFrame:
+def per_bill(bills: DataFrame, rows: DataFrame, group: list[str], sums: dict[str, str]) -> DataFrame:
     """Wildcard bill match (J10) for additive aggregates.
 
     ``rows`` carry FOLIO + bill_no + ``group`` columns; returns, per bill
@@ -86,7 +85,7 @@ def _per_bill(bills: DataFrame, rows: DataFrame, group: list[str], sums: dict[st
 def batch_postings(t, bills: DataFrame) -> DataFrame:
     """The postings of a bounded micro-batch's folios, for callers that cache
     them once and pass them to every step (``postings=``)."""
-    return _postings(t, bills, small_batch=True)
+    return posting_rows(t, bills, small_batch=True)
 
 
 def _restricted(p: DataFrame, bills: DataFrame) -> DataFrame:
@@ -96,12 +95,18 @@ def _restricted(p: DataFrame, bills: DataFrame) -> DataFrame:
 def rule_counts(t, bills: DataFrame, small_batch: bool = False, postings: DataFrame | None = None,
                 only_their_folios: bool = True) -> DataFrame:
     """Per bill, the rule-6 payment count and the positive-posting count."""
-    p = postings if postings is not None else _postings(t, bills if only_their_folios else None, small_batch)
+    p = postings if postings is not None else posting_rows(t, bills if only_their_folios else None, small_batch)
+    return per_bill(bills, counted_rows(p), [], {"mpay_count": "m", "ppost_count": "p"})
+
+
+def counted_rows(p: DataFrame, *more: str) -> DataFrame:
+    """The postings that a rule counts: FOLIO, bill_no, ``m`` (1 for a rule-6 payment), ``p`` (1 for a positive posting)
+    and ``more`` of their columns."""
     mpay = ((F.col("trx_no_added_by").isNull() & (F.col("ft_subtype") == "FC")
              & (F.col("deposit_code") != F.col("trx_code")) & (F.col("ind_billing") == "N")))
     ppost = (F.col("gross_amount") > 0) & (F.coalesce(F.col("trx_code_type"), F.lit("@")) != "X")
-    rows = p.where(mpay | ppost).select(*FOLIO, "bill_no", mpay.cast("int").alias("m"), ppost.cast("int").alias("p"))
-    return _per_bill(bills, rows, [], {"mpay_count": "m", "ppost_count": "p"})
+    mpay, ppost = F.coalesce(mpay, F.lit(False)), F.coalesce(ppost, F.lit(False))
+    return p.where(mpay | ppost).select(*FOLIO, "bill_no", mpay.cast("int").alias("m"), ppost.cast("int").alias("p"), *more)
 
 
 def _terminals(t) -> DataFrame:
@@ -112,11 +117,15 @@ def _terminals(t) -> DataFrame:
 
 
 def fiscal_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False,
-                    postings: DataFrame | None = None) -> DataFrame:
-    """One outcome per bill: (bill_no, resort, resv_name_id, folio_view, outcome, message, url)."""
+                    postings: DataFrame | None = None, counts: DataFrame | None = None,
+                    with_bill: bool = False) -> DataFrame:
+    """One outcome per bill: (bill_no, resort, resv_name_id, folio_view, outcome, message, url).
+    ``counts``: the bills' rule counts, where they are kept between batches; ``with_bill``: with the bill's terminal and
+    payments."""
     every = bills is None
     bills = t["folio_tax"] if every else bills
-    counts = rule_counts(t, bills, small_batch, postings, only_their_folios=not every)
+    if counts is None:
+        counts = rule_counts(t, bills, small_batch, postings, only_their_folios=not every)
     b = (bills.join(counts, [*FOLIO, "bill_no"], "left")
          .join(sized_broadcast(_terminals(t)), F.col("terminal") == F.col("station_id"), "left"))
     total = F.coalesce(F.col("total_gross"), F.lit(0))
@@ -138,7 +147,7 @@ def fiscal_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False
                .when(F.col("outcome") == "REJECT_RULE5", MSG_RULE5)
                .when(F.col("outcome") == "REJECT_TERMINAL", MSG_TERMINAL))
     return (b.select("bill_no", "resort", "resv_name_id", "folio_view", "total_gross", outcome.alias("outcome"),
-                     "url")
+                     "url", *(["terminal", "cashpay", "ccpay", "deposit"] if with_bill else []))
             .withColumn("message", message))
 
 
@@ -147,16 +156,13 @@ def fiscal_items(t, bills: DataFrame, only_their_folios: bool = False, small_bat
     """A9 + J12j + U2: per bill the item groups (code, description, VAT) with
     ``SUM(gross) <> 0``; ``price`` is ``ABS(SUM(gross))`` and ``item`` its JSON text."""
     p = _restricted(postings, bills) if postings is not None else \
-        _postings(t, bills if only_their_folios else None, small_batch)
-    arr = sized_broadcast(unique_on(t["trx_code_arrangement"], ["resort", "arrangement_id"], ["arrangement_code"],
-                                    "trx_code_arrangement"))
+        posting_rows(t, bills if only_their_folios else None, small_batch)
     tr = t["fin_trx_translation"].where((F.col("translated_column") == "Arrangement_desc")
                                         & (F.col("language_code") == TRANSLATION_LANGUAGE))
-    tr = sized_broadcast(unique_on(tr, ["resort", "arrangement_id"], ["description"], "arrangement translation")
-                         .withColumnRenamed("description", "_tr_desc"))
-    rows = (p.where((F.col("gross_amount") != 0) & (F.coalesce(F.col("trx_code_type"), F.lit("@")) != "X"))
-            .join(arr, ["resort", "arrangement_id"], "left")
-            .join(tr, ["resort", "arrangement_id"], "left")
+    key = {"resort": "resort", "arrangement_id": "arrangement_id"}
+    rows = p.where((F.col("gross_amount") != 0) & (F.coalesce(F.col("trx_code_type"), F.lit("@")) != "X"))
+    rows = lookup(rows, t["trx_code_arrangement"], key, {"arrangement_code": "arrangement_code"}, "trx_code_arrangement")
+    rows = (lookup(rows, tr, key, {"description": "_tr_desc"}, "arrangement translation")
             .join(child_tax(t["financial_transactions"], t["trx_codes"],
                             p if postings is not None or only_their_folios else None), "trx_no", "left")
             .select(*FOLIO, "bill_no",
@@ -165,7 +171,7 @@ def fiscal_items(t, bills: DataFrame, only_their_folios: bool = False, small_bat
                     calc_tax_percentage(F.col("tax_inclusive_yn"), F.col("net_amount"), F.col("gross_amount"),
                                         F.col("child_tax")).alias("vat_rate"),
                     "gross_amount"))
-    g = _per_bill(bills, rows, ["item_code", "item_name", "vat_rate"], {"amount": "gross_amount"})
+    g = per_bill(bills, rows, ["item_code", "item_name", "vat_rate"], {"amount": "gross_amount"})
     g = g.where(F.col("amount") != 0)
     text = text_concat('{"TrxCode":"', F.col("item_code"), '","ItemName": "', F.col("item_name"),
                        '","VatRate": ', to_char_int(F.col("vat_rate")), ',"Price": ',
@@ -175,42 +181,50 @@ def fiscal_items(t, bills: DataFrame, only_their_folios: bool = False, small_bat
                     F.replace(F.trim(text), F.lit(" "), F.lit("")).alias("item"))
 
 
-def fiscal_payments(t, bills: DataFrame, only_their_folios: bool = False, small_batch: bool = False,
-                    postings: DataFrame | None = None) -> DataFrame:
-    """A10 + U3: per bill the payment groups (code, description, card flag)
-    with ``SUM(credit - debit) <> 0``; ``total`` is the absolute sum."""
-    p = _restricted(postings, bills) if postings is not None else \
-        _postings(t, bills if only_their_folios else None, small_batch)
+def payment_rows(t, p: DataFrame, *more: str) -> DataFrame:
+    """The payments among the postings ``p``: FOLIO, bill_no, trx_code, pay_name, card, payment and ``more``."""
     tr = t["fin_trx_translation"].where((F.col("translated_column") == "DESCRIPTION")
                                         & (F.col("language_code") == TRANSLATION_LANGUAGE))
-    tr = sized_broadcast(unique_on(tr, ["resort", "trx_code"], ["description"], "payment translation")
-                         .withColumnRenamed("description", "_tr_desc"))
     is_payment = F.col("trx_no_added_by").isNull() & (
         (F.col("ft_subtype") == "FC") | (F.col("deposit_code") == F.col("trx_code")))
-    rows = (p.where(is_payment).join(tr, ["resort", "trx_code"], "left")
-            .select(*FOLIO, "bill_no", "trx_code",
-                    F.coalesce(F.col("_tr_desc"), F.col("description")).alias("pay_name"),
-                    F.when(F.col("cc_type").isNotNull(), F.lit("1")).otherwise(F.lit("0")).alias("card"),
-                    (F.coalesce(F.col("guest_account_credit"), F.lit(0))
-                     - F.coalesce(F.col("guest_account_debit"), F.lit(0))).alias("payment")))
-    g = _per_bill(bills, rows, ["trx_code", "pay_name", "card"], {"amount": "payment"})
+    rows = lookup(p.where(is_payment), tr, {"resort": "resort", "trx_code": "trx_code"}, {"description": "_tr_desc"},
+                  "payment translation")
+    return rows.select(*FOLIO, "bill_no", "trx_code",
+                       F.coalesce(F.col("_tr_desc"), F.col("description")).alias("pay_name"),
+                       F.when(F.col("cc_type").isNotNull(), F.lit("1")).otherwise(F.lit("0")).alias("card"),
+                       (F.coalesce(F.col("guest_account_credit"), F.lit(0))
+                        - F.coalesce(F.col("guest_account_debit"), F.lit(0))).alias("payment"), *more)
+
+
+PAYMENT = ["trx_code", "pay_name", "card"]
+
+
+def fiscal_payments(t, bills: DataFrame, only_their_folios: bool = False, small_batch: bool = False,
+                    postings: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """A10 + U3: per bill the payment groups (code, description, card flag)
+    with ``SUM(credit - debit) <> 0``; ``total`` is the absolute sum. ``rows``: FOLIO, bill_no, group and payment, where
+    they are kept between batches."""
+    if rows is None:
+        rows = payment_rows(t, _restricted(postings, bills) if postings is not None else
+                            posting_rows(t, bills if only_their_folios else None, small_batch))
+    g = per_bill(bills, rows, PAYMENT, {"amount": "payment"})
     g = g.where(F.col("amount") != 0)
     text = text_concat('{"TrxCode":', F.col("trx_code"), ',"Name": "', F.col("pay_name"),
                        '","PaymentType":0 ', ',"OptionPaymentType": ', F.col("card"), ',"Total": ',
                        to_char_money(F.abs(F.col("amount"))), "}")
-    return g.select(*FOLIO, "bill_no", "trx_code", "pay_name", "card",
+    return g.select(*FOLIO, "bill_no", *PAYMENT,
                     F.abs(F.col("amount")).cast("decimal(18,2)").alias("total"),
                     F.replace(F.trim(text), F.lit(" "), F.lit("")).alias("item"))
 
 
 def fiscal_documents(t, outcomes: DataFrame, small_batch: bool = False,
-                     postings: DataFrame | None = None) -> DataFrame:
+                     postings: DataFrame | None = None, payments: DataFrame | None = None) -> DataFrame:
     """The JSON document of every SEND bill: (resort, bill_no, url, document).
     Only the postings of the SEND bills' folios are aggregated."""
     send = outcomes.where(F.col("outcome") == "SEND").select(*FOLIO, "bill_no", "total_gross", "url")
     items = fiscal_items(t, send, True, small_batch, postings).groupBy(*FOLIO, "bill_no").agg(
         ordered_text_list("item", ",", [F.col("item_code"), F.col("item_name"), F.col("vat_rate")]).alias("_items"))
-    pays = fiscal_payments(t, send, True, small_batch, postings).groupBy(*FOLIO, "bill_no").agg(
+    pays = fiscal_payments(t, send, True, small_batch, postings, payments).groupBy(*FOLIO, "bill_no").agg(
         ordered_text_list("item", ",", [F.col("trx_code"), F.col("pay_name"), F.col("card")]).alias("_pays"))
     doc = text_concat('{"FiscalDocType": ',
                       F.when(F.col("total_gross") > 0, F.lit("1")).otherwise(F.lit("0")),
@@ -220,6 +234,50 @@ def fiscal_documents(t, outcomes: DataFrame, small_batch: bool = False,
             .select("resort", "bill_no", "url", doc.alias("document")))
 
 
+#: The document's fields and their types.
+DOCUMENT_TYPE = ("FiscalDocType int, TransactionID string, "
+                 "Items array<struct<TrxCode: string, ItemName: string, VatRate: int, Price: decimal(18,2), Quantity: int>>, "
+                 "Payments array<struct<TrxCode: string, Name: string, PaymentType: int, OptionPaymentType: int, "
+                 "Total: decimal(18,2)>>")
+
+
+def fiscal_documents_json(t, outcomes: DataFrame, small_batch: bool = False,
+                          postings: DataFrame | None = None, payments: DataFrame | None = None) -> DataFrame:
+    """R8 in ``json`` mode: the same documents as typed values, escaped by ``to_json``, lines in order of their fields.
+    Texts keep their blanks, and quotes and backslashes in them do no harm. A bill without lines has empty arrays."""
+    send = outcomes.where(F.col("outcome") == "SEND").select(*FOLIO, "bill_no", "total_gross", "url")
+    item = F.struct(F.col("item_code").alias("TrxCode"), F.col("item_name").alias("ItemName"), F.col("vat_rate").alias("VatRate"),
+                    F.col("price").alias("Price"), F.lit(1).alias("Quantity"))
+    pay = F.struct(F.col("trx_code").alias("TrxCode"), F.col("pay_name").alias("Name"), F.lit(0).alias("PaymentType"),
+                   F.col("card").cast("int").alias("OptionPaymentType"), F.col("total").alias("Total"))
+    items = fiscal_items(t, send, True, small_batch, postings).groupBy(*FOLIO, "bill_no").agg(
+        F.array_sort(F.collect_list(item)).alias("_items"))
+    pays = fiscal_payments(t, send, True, small_batch, postings, payments).groupBy(*FOLIO, "bill_no").agg(
+        F.array_sort(F.collect_list(pay)).alias("_pays"))
+    both = send.join(items, [*FOLIO, "bill_no"], "left").join(pays, [*FOLIO, "bill_no"], "left")
+    document = F.struct(
+        F.when(F.col("total_gross") > 0, 1).otherwise(0).alias("FiscalDocType"),
+        F.concat_ws("-", "resort", F.col("bill_no").cast("string")).alias("TransactionID"),
+        F.coalesce("_items", F.array()).alias("Items"), F.coalesce("_pays", F.array()).alias("Payments"))
+    return both.select("resort", "bill_no", "url", F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))
+
+
+def document_lines(documents: DataFrame) -> DataFrame:
+    """The lines of ``json`` documents, read back from their text: (resort, bill_no, fiscal_doc_type, transaction_id, part,
+    pos, code, name, vat_rate, card, amount); a text that does not parse raises."""
+    parsed = documents.select("resort", "bill_no", F.from_json("document", DOCUMENT_TYPE, {"mode": "FAILFAST"}).alias("d"))
+    none = F.lit(None).cast("int")
+    items = F.transform("d.Items", lambda x, i: F.struct(
+        F.lit("item").alias("part"), (i + 1).alias("pos"), x["TrxCode"].alias("code"), x["ItemName"].alias("name"),
+        x["VatRate"].alias("vat_rate"), none.alias("card"), x["Price"].alias("amount")))
+    pays = F.transform("d.Payments", lambda x, i: F.struct(
+        F.lit("payment").alias("part"), (i + 1).alias("pos"), x["TrxCode"].alias("code"), x["Name"].alias("name"),
+        none.alias("vat_rate"), x["OptionPaymentType"].alias("card"), x["Total"].alias("amount")))
+    return parsed.select("resort", "bill_no", F.col("d.FiscalDocType").alias("fiscal_doc_type"),
+                         F.col("d.TransactionID").alias("transaction_id"), F.explode(F.concat(items, pays)).alias("x")).select(
+        "resort", "bill_no", "fiscal_doc_type", "transaction_id", "x.*")
+
+
 def stored_outcomes(t, bills: DataFrame | None = None, small_batch: bool = False,
                     path: str | None = None, postings: DataFrame | None = None) -> DataFrame:
     """``fiscal_outcomes`` computed once and written as a table (default: a fresh

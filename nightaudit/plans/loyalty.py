@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightaudit.functions.oracle import profile_name
-from nightaudit.operators.contacts import preferred_contact
+from nightaudit.operators.contacts import with_contacts
 from nightaudit.operators.lists import bill_number_list
-from nightaudit.operators.lookups import departure_day, lookup
+from nightaudit.operators.lookups import checked, departure_day, lookup
 from nightaudit.operators.revenue import revenue_classes
 
 MONEY = "decimal(18,4)"
@@ -42,14 +42,24 @@ def stay_bill_revenue(t) -> DataFrame:
 
 
 def departure_names(t, rn: DataFrame | None = None) -> DataFrame:
-    """J12g + U6, for all reservations or those of ``rn``: (resort, resv_name_id, travel_agent, company, group_name, adults)."""
+    """J12g + U6, for all reservations or those of ``rn``: (resort, resv_name_id, travel_agent, company,
+    group_name, adults, _dep_n), for ``with_departure``."""
     dep = departure_day(t["reservation_daily_element_name"], t["reservation_daily_elements"],
                         t["reservation_name"] if rn is None else rn)
     display = t["name"].select("name_id", profile_name().alias("display"))
     dep = lookup(dep, display, {"travel_agent_id": "name_id"}, {"display": "travel_agent"}, "agent profile")
     dep = lookup(dep, display, {"company_id": "name_id"}, {"display": "company"}, "company profile")
     dep = lookup(dep, display, {"group_id": "name_id"}, {"display": "group_name"}, "group profile")
-    return dep.select("resort", "resv_name_id", "travel_agent", "company", "group_name", "adults")
+    return dep.select("resort", "resv_name_id", *DEPARTURE, "_dep_n")
+
+
+DEPARTURE = ["travel_agent", "company", "group_name", "adults"]
+
+
+def with_departure(fact: DataFrame, dep: DataFrame) -> DataFrame:
+    """``fact`` with what stands on the night of departure, an error for a stay with several such rows."""
+    joined = fact.join(dep, ["resort", "resv_name_id"], "left")
+    return checked(joined, "_dep_n", DEPARTURE, "departure day", ["resort", "resv_name_id"])
 
 
 def loyalty_statement(t) -> DataFrame:
@@ -59,11 +69,9 @@ def loyalty_statement(t) -> DataFrame:
         F.datediff(F.col("trunc_end_date"), F.col("trunc_begin_date")).alias("nights"))
     prof = t["name"].select("name_id", "title", "last", "first")
     dep = departure_names(t, t["reservation_name"].where(F.col("resv_status") == "CHECKED OUT")).withColumnRenamed("resv_name_id", "original_resv_name_id")
-    rows = (stay_bill_revenue(t)
-            .join(rn, ["resort", "original_resv_name_id"])
-            .join(prof, "name_id")
-            .join(preferred_contact(t["name_phone"], t["name_document"]), "name_id", "left")
-            .join(dep, ["resort", "original_resv_name_id"], "left"))
+    stay = ["resort", "original_resv_name_id"]
+    rows = with_contacts(stay_bill_revenue(t).join(rn, stay).join(prof, "name_id"), t["name_phone"], t["name_document"])
+    rows = checked(rows.join(dep, stay, "left"), "_dep_n", DEPARTURE, "departure day", stay)
     # A1: GROUP BY the 16 stay columns + bill_no
     a1 = rows.groupBy(*STAY_KEYS, "bill_no").agg(
         F.sum("s_room").alias("r_room"), F.sum("s_puan").alias("r_puan"), F.sum("s_pck").alias("r_pck"),

@@ -6,6 +6,8 @@ Every query reads the hotel tables Spark derives from the test tables under
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +15,13 @@ from pyspark.sql import functions as F
 
 from nightaudit.operators import flags, lookups, revenue
 from nightaudit.operators.asof import stay_and_eur_rates
-from nightaudit.operators.contacts import preferred_contact
+from nightaudit.operators.contacts import with_contacts
 from nightaudit.operators.lists import bill_number_list
-from nightaudit.plans import detail, fiscal, ledger, loyalty
+from nightaudit.plans import detail, fiscal, fiscal_routing, fiscal_state, ledger, loyalty
+from nightaudit.session import ensure_checkpoint_dir
+from nightaudit.sources import ingest
 from nightaudit.sources.hotel import hotel_tables
+from nightaudit.sources.schemas import HotelParquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -120,15 +125,13 @@ def q_asof_eur_rate(spark, sf_dir):
 @register("open_business_date_rows")
 def q_open_business_date_rows(spark, sf_dir):
     t = hotel_tables(spark, sf_dir)
-    opened = detail.open_business_dates(t).select("resort", F.col("business_date").alias("reservation_date"))
-    return (_nights(t).join(lookups.sized_broadcast(opened), ["resort", "reservation_date"], "left_semi")
-            .select(*NIGHT_KEYS, "resv_daily_el_seq"))
+    return detail.on_open_date(_nights(t), t).select(*NIGHT_KEYS, "resv_daily_el_seq")
 
 
 @register("actual_or_forecast_revenue")
 def q_actual_or_forecast_revenue(spark, sf_dir):
     t = hotel_tables(spark, sf_dir)
-    f = _nights(t).select(*NIGHT_KEYS).join(lookups.sized_broadcast(detail.resort_info(t)), "resort", "left")
+    f = lookups.with_resort(_nights(t).select(*NIGHT_KEYS), lookups.sized_broadcast(detail.resort_info(t)))
     return detail.actual_or_forecast(f, t).select(*NIGHT_KEYS, "room_revenue", "room_revenue_tax")
 
 
@@ -195,15 +198,13 @@ def q_bill_number_list(spark, sf_dir):
 @register("departure_day_lookup")
 def q_departure_day_lookup(spark, sf_dir):
     t = hotel_tables(spark, sf_dir)
-    return (t["reservation_name"].select("resort", "resv_name_id")
-            .join(loyalty.departure_names(t), ["resort", "resv_name_id"], "left"))
+    return loyalty.with_departure(t["reservation_name"].select("resort", "resv_name_id"), loyalty.departure_names(t))
 
 
 @register("preferred_contact")
 def q_preferred_contact(spark, sf_dir):
     t = hotel_tables(spark, sf_dir)
-    return (t["name"].select("name_id")
-            .join(preferred_contact(t["name_phone"], t["name_document"]), "name_id", "left"))
+    return with_contacts(t["name"].select("name_id"), t["name_phone"], t["name_document"])
 
 
 # ---------------------------------------------------------------------------
@@ -240,3 +241,171 @@ def q_fiscal_stream(spark, sf_dir):
     """The same outcomes, produced by the streaming job (several micro-batches)."""
     from nightaudit.streaming.fiscal_stream import fiscal_stream_outcomes
     return fiscal_stream_outcomes(spark, hotel_tables(spark, sf_dir)).select(*FISCAL_KEYS, "outcome")
+
+
+# ---------------------------------------------------------------------------
+# routing, kept folio state, typed documents
+# ---------------------------------------------------------------------------
+
+_ONCE: dict[tuple, object] = {}
+
+
+def _once(spark, sf_dir: str, name: str, make: Callable[[str], object]):
+    """What several queries of a session read: ``make`` fills a fresh folder of the shared area, once."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _ONCE:
+        _ONCE[key] = make(os.path.join(ensure_checkpoint_dir(spark), f"nightaudit-{name}", uuid.uuid4().hex))
+    return _ONCE[key]
+
+
+def _routed(spark, sf_dir):
+    """The bills in two batches, some of the first again in the second; the second is tried twice."""
+    def make(root):
+        t, store = hotel_tables(spark, sf_dir), fiscal_routing.fiscal_store(spark, root)
+        bill = F.coalesce("bill_no", F.lit(0))
+        batches = [t["folio_tax"].where(bill % 2 == 0), t["folio_tax"].where((bill % 2 == 1) | (bill % 14 == 0))]
+        for no in (0, 1, 1):
+            fiscal_routing.route_batch(store, no, t, batches[no])
+        return store
+    return _once(spark, sf_dir, "fiscal-routing", make)
+
+
+@register("fiscal_accepted")
+def q_fiscal_accepted(spark, sf_dir):
+    return _routed(spark, sf_dir).read("accepted")
+
+
+@register("fiscal_rejected")
+def q_fiscal_rejected(spark, sf_dir):
+    return _routed(spark, sf_dir).read("rejected")
+
+
+@register("fiscal_outbox")
+def q_fiscal_outbox(spark, sf_dir):
+    """K3: one live document per bill, with the batch that it came from."""
+    return _routed(spark, sf_dir).read("outbox_live")
+
+
+@register("fiscal_log")
+def q_fiscal_log(spark, sf_dir):
+    return _routed(spark, sf_dir).read("log")
+
+
+def _folios(spark, sf_dir):
+    """All postings in three batches: two of new ones, a third of them with wrong values, and their corrections. The
+    second is tried twice."""
+    def make(root):
+        t, store = hotel_tables(spark, sf_dir), fiscal_state.folio_store(spark, root)
+        ft = t["financial_transactions"]
+        third = F.coalesce("trx_no", F.lit(0)) % 3 == 0
+        wrong = ft.where(third).withColumns({"gross_amount": -F.col("gross_amount"), "guest_account_credit": F.lit(1).cast("decimal(18,4)")})
+        plus, minus = F.lit(1).alias("sign"), F.lit(-1).alias("sign")
+        batches = [ft.where(~third).select("*", plus), wrong.select("*", plus),
+                   wrong.select("*", minus).unionByName(ft.where(third).select("*", plus))]
+        for no in (0, 1, 1, 2):
+            fiscal_state.apply_postings(store, no, t, batches[no])
+        return store
+    return _once(spark, sf_dir, "fiscal-folios", make)
+
+
+@register("fiscal_kept_counts")
+def q_fiscal_kept_counts(spark, sf_dir):
+    """A11 from the kept folio state instead of the postings."""
+    counts = fiscal_state.kept_counts(_folios(spark, sf_dir), hotel_tables(spark, sf_dir)["folio_tax"])
+    return counts.where("mpay_count > 0 OR ppost_count > 0")
+
+
+@register("fiscal_kept_payments")
+def q_fiscal_kept_payments(spark, sf_dir):
+    """A10 from the kept folio state instead of the postings."""
+    t = hotel_tables(spark, sf_dir)
+    return fiscal.fiscal_payments(t, t["folio_tax"], rows=fiscal_state.kept_payments(_folios(spark, sf_dir), t["folio_tax"]))
+
+
+@register("fiscal_document_lines")
+def q_fiscal_document_lines(spark, sf_dir):
+    """R8 in json mode, parsed back."""
+    t = hotel_tables(spark, sf_dir)
+    return fiscal.document_lines(fiscal.fiscal_documents_json(t, fiscal.stored_outcomes(t)))
+
+
+# ---------------------------------------------------------------------------
+# bound reports (F2), ingested tables
+# ---------------------------------------------------------------------------
+
+#: Parameter sets of the ledger: resort, first and last day (None: not bound).
+LEDGER_BINDS = [("R1", "1994-01-01", "1994-03-31"), ("R3", None, "1995-06-30"), (None, "1997-02-10", "1997-02-20")]
+
+
+def _bound(report) -> DataFrame:
+    """The report for every parameter set, with the set's number."""
+    out = None
+    for no, binds in enumerate(LEDGER_BINDS, 1):
+        one = report(*binds).withColumn("binds", F.lit(no))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("guest_night_ledger_bound")
+def q_guest_night_ledger_bound(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return _bound(lambda *b: ledger.guest_night_ledger(t, *b))
+
+
+@register("guest_night_ledger_sql_bound")
+def q_guest_night_ledger_sql_bound(spark, sf_dir):
+    t = hotel_tables(spark, sf_dir)
+    return _bound(lambda *b: ledger.guest_night_ledger_sql(spark, t, *b))
+
+
+#: What the ledger and the in-house list read.
+INGESTED = ["resort", "businessdate", "reservation_name", "reservation_daily_element_name", "reservation_daily_elements", "name",
+            "financial_transactions", "trx_codes", "currency_exchange_rates", "rate_header", "resort_markets",
+            "allotment_header", "name_address", "reservation_stat_daily", "reservation_summary", "ar_account", "ppor_ar",
+            "ppor_name_ar", "room_category"]
+
+
+def _raw_feed(t) -> dict[str, DataFrame]:
+    """The hotel tables as a text extract ('' for NULL) with faults among them: postings without a number or with text
+    for an amount, nights of no day, and stays that come twice."""
+    feed = {}
+    for name in INGESTED:
+        df = t[name]
+        feed[name] = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
+    ft, dn, rn = (feed[n] for n in ("financial_transactions", "reservation_daily_element_name", "reservation_name"))
+    def every(key: str, n: int):
+        return F.col(key).cast("bigint") % n == 0
+    feed["financial_transactions"] = (
+        ft.unionByName(ft.where(every("trx_no", 50)).withColumn("trx_no", F.lit("")))
+        .unionByName(ft.where(every("trx_no", 70)).withColumns({"net_amount": F.lit("n/a"), "folio_view": F.lit("one")})))
+    feed["reservation_daily_element_name"] = dn.unionByName(
+        dn.where(every("resv_name_id", 40)).withColumn("reservation_date", F.lit("1994-02-30")))
+    feed["reservation_name"] = rn.unionByName(rn.where(every("resv_name_id", 30)))
+    return feed
+
+
+def _ingested(spark, sf_dir):
+    def make(root):
+        ingest.ingest(spark, _raw_feed(hotel_tables(spark, sf_dir)), root, INGESTED)
+        return root
+    return _once(spark, sf_dir, "ingested", make)
+
+
+@register("ingest_quarantine")
+def q_ingest_quarantine(spark, sf_dir):
+    """Rows set aside, by table and reason."""
+    rows = ingest.quarantine(spark, _ingested(spark, sf_dir), INGESTED)
+    return rows.select("table", F.explode("reasons").alias("reason")).groupBy("table", "reason").agg(F.count("*").alias("n"))
+
+
+@register("ingested_inhouse_today")
+def q_ingested_inhouse_today(spark, sf_dir):
+    """Q3 over ingested tables: only the folders of the open days are read."""
+    return detail.inhouse_today(HotelParquet(spark, _ingested(spark, sf_dir)))
+
+
+@register("ingested_ledger_bound")
+def q_ingested_ledger_bound(spark, sf_dir):
+    """Q5 with parameters over ingested tables: only the resort's and the months' folders are read."""
+    t = HotelParquet(spark, _ingested(spark, sf_dir))
+    return _bound(lambda *b: ledger.guest_night_ledger(t, *b))

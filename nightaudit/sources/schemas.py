@@ -1,15 +1,16 @@
-"""Explicit schemas of the hotel tables and a reader for real hotel data.
+"""Explicit schemas of the hotel tables, their layout on storage, and the reader of stored tables.
 
-With real data the hotel tables are parquet folders ``<root>/<table>``; they
-are read with these schemas (no inference) and '' is normalised to NULL in
-every string column, because the source system (Oracle) has no empty string.
+Stored tables are parquet folders ``<root>/<table>``, as ``sources.ingest`` writes them: '' is NULL already (the source
+system, Oracle, has no empty string), so the reader hands out plain columns and every filter reaches the scan. The
+nightly and posting facts are laid out by resort and month; ``in_dates`` carries a date range over to the months.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nightaudit.functions.oracle import blank_to_null
 
@@ -44,22 +45,51 @@ HOTEL_SCHEMAS = {
 }
 
 
-def read_hotel_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return blank_to_null(spark.read.schema(HOTEL_SCHEMAS[name]).parquet(os.path.join(root, name)))
+#: The facts laid out by resort and month, with the date that the month is of.
+LAID_OUT = {"financial_transactions": "trx_date", "reservation_daily_element_name": "reservation_date",
+            "reservation_daily_elements": "reservation_date", "reservation_stat_daily": "business_date",
+            "reservation_summary": "considered_date"}
+MONTH = "_month"
+
+
+def month_of(c) -> Column:
+    """The first day of a date's month, the value of the partition column."""
+    return F.trunc(F.col(c) if isinstance(c, str) else c, "month")
+
+
+def in_dates(df: DataFrame, date: str, d_from=None, d_to=None) -> DataFrame:
+    """The rows with ``date`` from ``d_from`` to ``d_to`` (None: open); of a table laid out by month, only those months'
+    folders are read."""
+    cond = F.lit(True)
+    for bound, op in ((d_from, "__ge__"), (d_to, "__le__")):
+        if bound is not None:
+            day = F.lit(bound).cast("date")
+            cond = cond & getattr(F.col(date), op)(day)
+            if MONTH in df.columns:
+                cond = cond & getattr(F.col(MONTH), op)(month_of(day))
+    return df if d_from is None and d_to is None else df.where(cond)
+
+
+def read_hotel_table(spark: SparkSession, root: str, name: str, raw: bool = False) -> DataFrame:
+    """A stored table; ``raw``: one that has not been ingested, with '' for NULL and in one folder."""
+    if raw:
+        return blank_to_null(spark.read.schema(HOTEL_SCHEMAS[name]).parquet(os.path.join(root, name)))
+    month = f", {MONTH} date" if name in LAID_OUT else ""
+    return spark.read.schema(HOTEL_SCHEMAS[name] + month).parquet(os.path.join(root, name))
 
 
 class HotelParquet:
     """Same interface as ``sources.hotel.HotelTables`` for stored hotel tables."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, raw: bool = False):
+        self.spark, self.root, self.raw = spark, root, raw
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = read_hotel_table(self.spark, self.root, name)
+            self._cache[name] = read_hotel_table(self.spark, self.root, name, self.raw)
         return self._cache[name]
 
     def reopened(self) -> "HotelParquet":
         """The same tables with their files listed anew."""
-        return HotelParquet(self.spark, self.root)
+        return HotelParquet(self.spark, self.root, self.raw)

@@ -28,7 +28,7 @@ DOCUMENT = "resort string, bill_no bigint, url string, document string, batch bi
 LOG = "bill_no bigint, resort string, resv_name_id bigint, folio_view int, seq int, event string, detail string, batch bigint"
 
 
-def fiscal_store(spark: SparkSession, root: str, buckets: int = 64) -> BatchStore:
+def fiscal_store(spark: SparkSession, root: str, buckets: int = 32) -> BatchStore:
     key = ["resort", "bill_no"]
     return BatchStore(spark, root, {"accepted": ROUTED, "rejected": ROUTED, "outbox": DOCUMENT, "log": LOG},
                       {"outbox_live": Keyed(DOCUMENT, key, newest_wins(key, "batch"), buckets=buckets)})

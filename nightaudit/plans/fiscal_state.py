@@ -22,7 +22,7 @@ COUNTS = f"{FOLIO_SCHEMA}, m bigint, p bigint"
 PAYMENTS = f"{FOLIO_SCHEMA}, trx_code string, pay_name string, card string, payment decimal(28,4)"
 
 
-def folio_store(spark: SparkSession, root: str, buckets: int = 64) -> BatchStore:
+def folio_store(spark: SparkSession, root: str, buckets: int = 32) -> BatchStore:
     key = [*FOLIO, "bill_no"]
     return BatchStore(spark, root, {}, {
         "folio_counts": Keyed(COUNTS, key, added_up(key, ["m", "p"]), FOLIO, buckets),

@@ -386,7 +386,8 @@ def _raw_feed(t) -> dict[str, DataFrame]:
 
 def _ingested(spark, sf_dir):
     def make(root):
-        ingest.ingest(spark, _raw_feed(hotel_tables(spark, sf_dir)), root, INGESTED)
+        # by year: the test tables hold a handful of rows of a resort and month
+        ingest.ingest(spark, _raw_feed(hotel_tables(spark, sf_dir)), root, INGESTED, "_year")
         return root
     return _once(spark, sf_dir, "ingested", make)
 
@@ -401,11 +402,11 @@ def q_ingest_quarantine(spark, sf_dir):
 @register("ingested_inhouse_today")
 def q_ingested_inhouse_today(spark, sf_dir):
     """Q3 over ingested tables: only the folders of the open days are read."""
-    return detail.inhouse_today(HotelParquet(spark, _ingested(spark, sf_dir)))
+    return detail.inhouse_today(HotelParquet(spark, _ingested(spark, sf_dir), period="_year"))
 
 
 @register("ingested_ledger_bound")
 def q_ingested_ledger_bound(spark, sf_dir):
     """Q5 with parameters over ingested tables: only the resort's and the months' folders are read."""
-    t = HotelParquet(spark, _ingested(spark, sf_dir))
+    t = HotelParquet(spark, _ingested(spark, sf_dir), period="_year")
     return _bound(lambda *b: ledger.guest_night_ledger(t, *b))

@@ -45,51 +45,58 @@ HOTEL_SCHEMAS = {
 }
 
 
-#: The facts laid out by resort and month, with the date that the month is of.
+#: The facts laid out by resort and month (or year), with the date that it is of.
 LAID_OUT = {"financial_transactions": "trx_date", "reservation_daily_element_name": "reservation_date",
             "reservation_daily_elements": "reservation_date", "reservation_stat_daily": "business_date",
             "reservation_summary": "considered_date"}
-MONTH = "_month"
+#: The partition column that a layout adds, and the unit of the date that it holds the first day of.
+PERIODS = {"_month": "month", "_year": "year"}
 
 
-def month_of(c) -> Column:
-    """The first day of a date's month, the value of the partition column."""
-    return F.trunc(F.col(c) if isinstance(c, str) else c, "month")
+def period_of(df: DataFrame) -> str | None:
+    """The partition column of a laid-out table, None for others."""
+    return next((p for p in PERIODS if p in df.columns), None)
+
+
+def period_start(period: str, c) -> Column:
+    """The value of the partition column for a date."""
+    return F.trunc(F.col(c) if isinstance(c, str) else c, PERIODS[period])
 
 
 def in_dates(df: DataFrame, date: str, d_from=None, d_to=None) -> DataFrame:
-    """The rows with ``date`` from ``d_from`` to ``d_to`` (None: open); of a table laid out by month, only those months'
-    folders are read."""
-    cond = F.lit(True)
+    """The rows with ``date`` from ``d_from`` to ``d_to`` (None: open); of a laid-out table, only the folders of those
+    months (years) are read."""
+    cond, period = F.lit(True), period_of(df)
     for bound, op in ((d_from, "__ge__"), (d_to, "__le__")):
         if bound is not None:
             day = F.lit(bound).cast("date")
             cond = cond & getattr(F.col(date), op)(day)
-            if MONTH in df.columns:
-                cond = cond & getattr(F.col(MONTH), op)(month_of(day))
+            if period:
+                cond = cond & getattr(F.col(period), op)(period_start(period, day))
     return df if d_from is None and d_to is None else df.where(cond)
 
 
-def read_hotel_table(spark: SparkSession, root: str, name: str, raw: bool = False) -> DataFrame:
+def read_hotel_table(spark: SparkSession, root: str, name: str, raw: bool = False,
+                     period: str = "_month") -> DataFrame:
     """A stored table; ``raw``: one that has not been ingested, with '' for NULL and in one folder."""
     if raw:
         return blank_to_null(spark.read.schema(HOTEL_SCHEMAS[name]).parquet(os.path.join(root, name)))
-    month = f", {MONTH} date" if name in LAID_OUT else ""
-    return spark.read.schema(HOTEL_SCHEMAS[name] + month).parquet(os.path.join(root, name))
+    column = f", {period} date" if name in LAID_OUT else ""
+    return spark.read.schema(HOTEL_SCHEMAS[name] + column).parquet(os.path.join(root, name))
 
 
 class HotelParquet:
     """Same interface as ``sources.hotel.HotelTables`` for stored hotel tables."""
 
-    def __init__(self, spark: SparkSession, root: str, raw: bool = False):
-        self.spark, self.root, self.raw = spark, root, raw
+    def __init__(self, spark: SparkSession, root: str, raw: bool = False, period: str = "_month"):
+        self.spark, self.root, self.raw, self.period = spark, root, raw, period
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = read_hotel_table(self.spark, self.root, name, self.raw)
+            self._cache[name] = read_hotel_table(self.spark, self.root, name, self.raw, self.period)
         return self._cache[name]
 
     def reopened(self) -> "HotelParquet":
         """The same tables with their files listed anew."""
-        return HotelParquet(self.spark, self.root, self.raw)
+        return HotelParquet(self.spark, self.root, self.raw, self.period)

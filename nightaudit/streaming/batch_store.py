@@ -22,6 +22,7 @@ import json
 import os
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,7 @@ class Keyed:
     keys: Sequence[str]
     merge: Merge
     bucket_by: Sequence[str] | None = None
-    buckets: int = 64
+    buckets: int = 32
 
     def bucket(self):
         return F.pmod(F.xxhash64(*(self.bucket_by or self.keys)), F.lit(self.buckets)).cast("int")
@@ -149,22 +150,25 @@ class BatchStore:
         batch has been committed before."""
         if self.committed(batch):
             return False
-        attempt, entries, before = uuid.uuid4().hex, [], self.entries()
-        for table, df in rows.items():
+        attempt, before = uuid.uuid4().hex, self.entries()
+
+        def write(table: str) -> list[dict]:
             folder = f"{table}/{batch:020d}-{attempt}"
             if table in self.appended:
-                shaped(df, self.appended[table]).write.parquet(f"{self.root}/{folder}")
-                entries.append({"batch": batch, "table": table, "bucket": None, "path": folder})
-                continue
+                shaped(rows[table], self.appended[table]).write.parquet(f"{self.root}/{folder}")
+                return [{"batch": batch, "table": table, "bucket": None, "path": folder}]
             spec = self.keyed[table]
-            new = self.spark.read.schema(spec.schema).parquet(self.stage(shaped(df, spec.schema), f"{folder}-new"))
+            new = self.spark.read.schema(spec.schema).parquet(self.stage(shaped(rows[table], spec.schema), f"{folder}-new"))
             touched = sorted(r[0] for r in new.select(spec.bucket().alias("b")).distinct().collect())
             live = self._live([e for e in before if e["table"] == table])
             old = self._rows([live[b] for b in touched if b in live], spec.schema)
             merged = shaped(spec.merge(old, new), spec.schema)
             (merged.withColumn("bucket", spec.bucket()).repartition("bucket")
              .write.partitionBy("bucket").parquet(f"{self.root}/{folder}"))
-            entries += [{"batch": batch, "table": table, "bucket": b, "path": f"{folder}/bucket={b}"} for b in touched]
+            return [{"batch": batch, "table": table, "bucket": b, "path": f"{folder}/bucket={b}"} for b in touched]
+
+        with ThreadPoolExecutor(len(rows)) as pool:  # the tables of a batch are written side by side
+            entries = [e for found in pool.map(write, rows) for e in found]
         return self._put(f"batch-{batch:020d}.json", entries)
 
     def stage(self, df: DataFrame, folder: str) -> str:

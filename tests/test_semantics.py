@@ -11,7 +11,7 @@ from nightaudit.functions.oracle import least_or_null, profile_name, text_concat
 from nightaudit.operators import flags
 from nightaudit.operators.asof import stay_and_eur_rates
 from nightaudit.operators.lists import bill_number_list
-from nightaudit.operators.lookups import lookup, unique_on
+from nightaudit.operators.lookups import lookup
 
 d = dt.date
 
@@ -152,8 +152,6 @@ def test_lookup_raises_on_duplicate_key(spark):  # S8
     assert sorted((r.k or 0, r.v) for r in got if r.k) == [(3, "c")] and [r.v for r in got if r.k is None] == [None]
     got = lookup(fact, dim, {"k": "k"}, {"v": "v"}, "dim", when=F.col("k") == 2).collect()
     assert sorted(tuple(r) for r in got) == [(1, None), (2, None)]
-    ok = unique_on(dim.where("v <> 'b'"), ["k"], ["v"], "dim")
-    assert sorted(tuple(r) for r in ok.collect()) == [(1, "a"), (3, "c")]
 
 
 def test_event_filter_and_room_flags(spark):  # S5, S6, F8-F10

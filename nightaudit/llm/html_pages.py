@@ -149,7 +149,28 @@ class _Writer:
         return f"<!DOCTYPE html><html><head><title>{self.words(4)}</title></head><body>{inside}</body></html>"
 
 
-def labelled_pages(n: int = 600, seed: int = 5) -> list[str]:
-    """``n`` pages whose main-text elements carry data-main."""
-    w = _Writer(random.Random(seed))
-    return [w.page() for _ in range(n)]
+    def short_page(self) -> str:
+        """A page of one or a few blocks: no heading, no telling names, or no element of its own around the text."""
+        m = ' data-main="1"'
+        kind = self.r.random()
+        block = lambda: f"<p{m}>{self.sentences(1, 3)}</p>"
+        heading = f"<h1{m}>{self.words(self.r.randint(2, 6))}</h1>"
+        if kind < 0.3:
+            inner = f"<article>{block()}</article>"
+        elif kind < 0.4:
+            inner = f"<main>{block()}</main>"
+        elif kind < 0.6:
+            inner = f"<x-main{m}>{self.sentences(1, 6)}</x-main>"
+        elif kind < 0.7:
+            inner = "".join(block() for _ in range(self.r.randint(1, 4)))
+        else:
+            inner = f"<div>{heading}{''.join(block() for _ in range(self.r.randint(1, 4)))}</div>"
+        before = self.nav() if self.r.random() < 0.3 else ""
+        after = self.r.choice(["", "", self.foot(), f"<div>&copy; 2024 {self.words(2)}</div>", f"<div>&copy; {self.words(2)}. All rights reserved.</div>"])
+        return f"<html><body>{before}{inner}{after}</body></html>"
+
+
+def labelled_pages(n: int = 600, seed: int = 5, short: int = 200) -> list[str]:
+    """``n`` pages and ``short`` pages of few blocks whose main-text elements carry data-main."""
+    w, few = _Writer(random.Random(seed)), _Writer(random.Random(seed + 1))
+    return [w.page() for _ in range(n)] + [few.short_page() for _ in range(short)]

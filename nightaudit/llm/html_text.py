@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -38,7 +37,10 @@ BLOCK_TAGS = frozenset("address article aside blockquote body button caption cen
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What may stand in a head; any other start tag, and text, ends an open head.
 HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
-SILENT_TAGS = frozenset("script style template noscript head title svg math iframe object canvas audio video".split())
+SILENT_TAGS = frozenset("script style template noscript head title svg iframe".split())
+BOX_TAGS = frozenset("article main section nav aside header footer form div".split())
+#: Stands around main text without an element of its own on drawn pages.
+MARK_TAG = "x-main"
 #: An open element of these ends where one of the group begins, unless a container of the group stands between.
 IMPLIED_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
                "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -54,33 +56,68 @@ class Block:
         self.text, self.features, self.main = text, features, main
 
 
+class _Frame:
+    """What the open elements from the root to one of them say about a block in it. Made from the frame above in the time
+    that the element's own names take; nothing is copied where an element adds nothing."""
+    __slots__ = ("said", "leaf", "box", "inner", "linked", "main", "features")
+
+    def __init__(self, above: _Frame | None, tag: str, names: tuple[str, ...], main: bool, known: frozenset | None):
+        new = [f"in:{tag}"] if tag not in ("html", "body", MARK_TAG, "") else []
+        new += [f"name:{w}" for w in names if len(w) > 1]
+        said = above.said if above else frozenset()
+        new = {f for f in new if f not in said and (known is None or f in known)}
+        self.said = said | new if new else said
+        self.leaf = tag if tag in BLOCK_TAGS else above.leaf if above else ""
+        self.box = tag if tag in BOX_TAGS else above.box if above else ""
+        self.inner = names[0] if names else above.inner if above else None
+        self.linked = tag == "a" or bool(above and above.linked)
+        self.main = main or bool(above and above.main)
+        self.features: tuple[str, ...] | None = None
+
+    def own_features(self) -> tuple[str, ...]:
+        if self.features is None:
+            out = {*self.said, f"leaf:{self.leaf}", f"box:{self.box}"}
+            if self.inner:
+                out.add(f"inner:{self.inner}")
+            self.features = tuple(sorted(out))
+        return self.features
+
+
 class _Blocks(HTMLParser):
-    """Collects leaf blocks. The stack holds (tag, names, is main, silent) of the open elements."""
+    """Collects leaf blocks. The stack holds (tag, frame, silent) of the open elements. ``known``: the features that a
+    trained field has; names that it does not know are not kept."""
 
-    def __init__(self):
+    def __init__(self, known: frozenset | None = None):
         super().__init__(convert_charrefs=True)
+        self.known = known
+        self.root = _Frame(None, "", (), False, known)
         self.stack: list[tuple] = []
+        self.open: dict[str, int] = {}
         self.parts: list[str] = []
         self.linked = 0
         self.blocks: list[Block] = []
         self.silent = 0
-        self.above: tuple | None = None
+        self.above: _Frame | None = None
+
+    def _frame(self) -> _Frame:
+        return self.stack[-1][1] if self.stack else self.root
 
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            stack, marked = self.above if self.above is not None else ((), False)
-            self.blocks.append(Block(text, stack + _text_features(text, self.linked), marked))
+            frame = self.above or self.root
+            self.blocks.append(Block(text, frame.own_features() + _text_features(text, self.linked), frame.main))
         self.parts, self.linked, self.above = [], 0, None
 
     def _pop(self, n: int) -> None:
-        for entry in self.stack[n:]:
-            self.silent -= entry[3]
+        for tag, _, silent in self.stack[n:]:
+            self.silent -= silent
+            self.open[tag] -= 1
         del self.stack[n:]
 
     def _end_head(self) -> None:
         """Ends a head that stands open, unless one of its own elements (title, noscript, ...) is open in it."""
-        inner = next((n for n in range(len(self.stack) - 1, -1, -1) if self.stack[n][3]), None)
+        inner = next((n for n in range(len(self.stack) - 1, -1, -1) if self.stack[n][2]), None)
         if inner is not None and self.stack[inner][0] == "head":
             self._pop(inner)
 
@@ -103,7 +140,8 @@ class _Blocks(HTMLParser):
                 main = True
         silent = tag in SILENT_TAGS
         self.silent += silent
-        self.stack.append((tag, names, main, silent))
+        self.open[tag] = self.open.get(tag, 0) + 1
+        self.stack.append((tag, _Frame(self._frame(), tag, names, main, self.known), silent))
 
     def _imply(self, tag: str) -> None:
         for n in range(len(self.stack) - 1, -1, -1):  # a block element ends an open paragraph
@@ -123,16 +161,18 @@ class _Blocks(HTMLParser):
                 elif self.stack[n][0] in walls:
                     break
         if self.silent and tag == "body":
-            self._pop(next((n for n, e in enumerate(self.stack) if e[3]), len(self.stack)))
+            self._pop(next((n for n, e in enumerate(self.stack) if e[2]), len(self.stack)))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS and tag in ("svg", "math", "script", "style", "iframe", "object"):
+        if tag not in VOID_TAGS and tag in ("svg", "math", "script", "style", "iframe", "object", "canvas", "audio", "video"):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK_TAGS:
             self._end_block()
+        if not self.open.get(tag):
+            return
         for n in range(len(self.stack) - 1, -1, -1):
             if self.stack[n][0] == tag:
                 self._pop(n)
@@ -144,26 +184,12 @@ class _Blocks(HTMLParser):
         if self.silent:
             return
         if self.above is None and not data.isspace():
-            self.above = (_stack_features(tuple((t, n) for t, n, _, _ in self.stack)), any(e[2] for e in self.stack))
+            self.above = self._frame()
         self.parts.append(data)
-        if any(e[0] == "a" for e in self.stack):
+        if self._frame().linked:
             self.linked += len(data)
 
 
-@lru_cache(50_000)
-def _stack_features(stack: tuple) -> tuple[str, ...]:
-    out = {f"in:{t}" for t, _ in stack if t not in ("html", "body")}
-    out |= {f"name:{w}" for _, names in stack for w in names if len(w) > 1}
-    blocks = [t for t, _ in stack if t in BLOCK_TAGS]
-    out.add(f"leaf:{blocks[-1] if blocks else ''}")
-    boxes = [t for t in blocks if t in ("article", "main", "section", "nav", "aside", "header", "footer", "form", "div")]
-    out.add(f"box:{boxes[-1] if boxes else ''}")
-    inner = [w for _, names in reversed(stack) if names for w in names]
-    if inner:
-        out.add(f"inner:{inner[0]}")
-    return tuple(sorted(out))
-
-
 def _text_features(text: str, linked: int) -> tuple[str, ...]:
     out = [f"len:{min(int(np.log2(len(text) + 1)), 9)}", f"link:{min(4, int(4 * linked / len(text) + 0.5))}"]
     if text[-1] in ".!?\"'»”…":
@@ -173,8 +199,8 @@ def _text_features(text: str, linked: int) -> tuple[str, ...]:
     return tuple(out)
 
 
-def blocks_of(html: str | None) -> list[Block]:
-    reader = _Blocks()
+def blocks_of(html: str | None, known: frozenset | None = None) -> list[Block]:
+    reader = _Blocks(known)
     reader.feed(html or "")
     reader.close()
     reader._end_block()
@@ -185,7 +211,7 @@ class Crf:
     """Two labels (0 other, 1 main), binary features, weights for each label, transitions and first labels."""
 
     def __init__(self, features: dict[str, int]):
-        self.features = features
+        self.features, self.known = features, frozenset(features)
         n = len(features)
         self.params = {"emit": np.zeros((n, 2)), "move": np.zeros((2, 2)), "first": np.zeros(2)}
 
@@ -270,7 +296,7 @@ def train(pages: list[str] | None = None) -> Crf:
 
 
 def main_text(crf: Crf, html: str | None) -> str:
-    page = blocks_of(html)
+    page = blocks_of(html, crf.known)
     return "\n".join(b.text for b, main in zip(page, crf.decode(page)) if main)
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -410,3 +411,39 @@ def test_keep_one_keeps_every_different_text(docs):
     # The second texts of 7 and of 8 are nearly the same: one of them stays.
     assert [x for x in kept if not x[1].startswith("north")] == sorted([("3", a), ("8", other), ("9", "-"), ("9", "-"), ("None", a)])
     assert [x for x in kept if x[1].startswith("north")] in ([("7", b)], [("8", b + " on")])
+
+
+# ---- 6: short, bare and deep pages
+
+@pytest.fixture(scope="module")
+def field():
+    return html_text.train()
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<article><p>One plain sentence stands here.</p></article>", "One plain sentence stands here."),
+    ("<html><body>Bare text in the body of a page, with a sentence or two. It ends here.</body></html>",
+     "Bare text in the body of a page, with a sentence or two. It ends here."),
+    ("<body><div><h1>A heading</h1><p>First paragraph of text.</p><p>Second one follows it.</p></div><div>&copy; 2024 Firm</div></body>",
+     "A heading\nFirst paragraph of text.\nSecond one follows it."),
+    ("<article><p>Text with <math><mi>x</mi></math> &amp; more of it.</p></article>", "Text with x & more of it."),
+    ("<article><p>A sentence, 3 &lt; 4 &eacute;.</p></article>", "A sentence, 3 < 4 é."), (None, ""), ("", "")])
+def test_short_and_bare_pages(field, html, text):
+    assert html_text.main_text(field, html) == text
+
+
+@pytest.mark.parametrize("html", ["<div>x " * 20_000, "<span>" * 100_000 + "y",
+                                  "".join(f"<div class=n{i}>x " for i in range(20_000)), "<div>" * 8_000 + "</p>" * 8_000])
+def test_deep_pages_take_linear_time(field, html):
+    began = time.process_time()
+    html_text.main_text(field, html)
+    assert time.process_time() - began < 10
+
+
+def test_short_layouts_held_out(field):
+    wrong = total = 0
+    for page in html_pages.labelled_pages(0, seed=77, short=200):
+        blocks = html_text.blocks_of(page, field.known)
+        wrong += sum(b.main != bool(x) for b, x in zip(blocks, field.decode(blocks)))
+        total += len(blocks)
+    assert wrong < 0.03 * total

@@ -23,11 +23,10 @@ def ordered_text_list(value: str, sep: str, order: Sequence[Column]) -> Column:
 def bill_number_list(bill_no: str = "bill_no") -> Column:
     """Distinct bill numbers of a group, ascending numerically, comma separated.
 
-    ``REPLACE(LTRIM(RTRIM(XMLAGG(bill_no || ',' ORDER BY bill_no), ','), ','), ',,', ',')``:
-    NULL bills add only a comma, which the trims and the replace remove, so the
-    result is the list of non-NULL bills, and NULL when there is none. The
-    input must already hold each bill once per group (the inner GROUP BY).
+    The reference joins the numbers with commas and strips the commas that NULL
+    bills leave, so the result is the list of non-NULL bills, and NULL when
+    there is none.
     """
     c = F.col(bill_no)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x.cast("string")), ",")
+    text = F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: x.cast("string")), ",")
     return F.when(F.count(c) > 0, text)

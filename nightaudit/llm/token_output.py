@@ -1,9 +1,10 @@
 """Token ids in binary: adaptive context-mixing range coder in independently reset, checksummed blocks.
 
-Model. The id two places on is predicted three ways: order 2 (the id that last followed this pair), order 1 (the id that
-last followed this id), order 0 (an adaptive distribution over id classes, uniform inside a class). The confidences of
-the two id predictions select an adaptive distribution that mixes the three: "as order 2 says", "as order 1 says", or a
-class of order 0. It drives a 64-bit range coder with carry.
+Model. The distribution of the next id is a blend. Order 2 (the id that last followed this pair) and order 1 (the id
+that last followed this id) each offer an id with a confidence; order 0 offers the ids that the block has held so far,
+kept in ``SEEN`` slots by a hash of the id; an id that is new to the block has a fixed prior by its bit length. The
+shares of the four are adaptive, one set for each pair of confidences. Where orders 1 and 2 offer the same id their
+shares add up; the share of order 0 lies apart. A 64-bit range coder with carry codes every id in one step.
 
 Lanes. A block of ``BLOCK`` ids starts from a fresh model and a fresh coder, so blocks are independent; up to ``LANES``
 of them are coded side by side in numpy, one id each per step, and a damaged block costs only itself. Memory is bounded
@@ -39,38 +40,65 @@ from nightaudit.llm.common import scratch_path, table, text_or_empty
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHED_WORDS = 500_000
+CACHED_WORDS = 700_000
+LONGEST_CACHED = 48
 
-MAGIC, VERSION = b"NACM", 1
+MAGIC, VERSION = b"NACM", 2
 BLOCK = 2048
 LANES = 2048
-SLOTS = 2048
+SLOT_BITS = 10
+SLOTS = 1 << SLOT_BITS
 SEGMENT_IDS = 32 * BLOCK
 
-PROB_BITS = 15
+PROB_BITS = 14
 RATE = 5
-LEAST = 64
-ID_MASK = np.uint32(0xFFFFFF)
+LEAST = 48
+SEEN = 256
+PARTS = 32
 
 
 class Model:
-    """Class layout of the order-0 alphabet for ids below ``vocabulary``, shared by coder and decoder."""
+    """Fixed figures of the coder for ids below ``vocabulary``, shared by coder and decoder."""
 
     def __init__(self, vocabulary: int):
         top = max(9, int(vocabulary - 1).bit_length())
         self.vocabulary = vocabulary
-        # Symbols: 0 order 2 was right, 1 order 1 was right, then classes: below 256, and one for each longer bit length.
-        self.bits = np.array([0, 0, 8, *range(8, top)], np.uint64)
-        self.base = np.array([0, 0, 0, *(1 << b for b in range(8, top))], np.uint64)
-        self.symbols = s = len(self.bits)
-        i = np.arange(s + 1)
-        sym = np.arange(s)[:, None]
-        self.target = np.where(i > sym, (1 << PROB_BITS) - (s - i) * LEAST, i * LEAST).astype(np.int32)
-        self.start = (i * ((1 << PROB_BITS) // s)).astype(np.int32)
-        self.start[-1] = 1 << PROB_BITS
-
-    def symbol_of(self, ids: np.ndarray) -> np.ndarray:
-        return 2 + np.where(ids < 256, 0, np.frexp(ids.astype(np.float64))[1] - 8).astype(np.intp)
+        # Classes of new ids: below 256, then one for each longer bit length; each has a power of two of the PARTS.
+        bits = np.array([8, *range(8, top)])
+        part = 1 << ((PARTS // len(bits)).bit_length() - 1)
+        twice = len(bits) - (PARTS - part * len(bits)) // part
+        parts = np.where(np.arange(len(bits)) >= twice, 2 * part, part)
+        self.new_bits = top - 1 + PARTS.bit_length() - 1
+        self.base = np.array([0, *(1 << b for b in range(8, top))], np.uint64)
+        self.spread = (self.new_bits - (PARTS.bit_length() - 1) + np.log2(parts).astype(int) - bits).astype(np.uint64)
+        self.first = ((np.cumsum(parts) - parts) << (top - 1)).astype(np.uint64)
+        self.class_of_part = np.repeat(np.arange(len(bits)), parts)
+        self.part_shift = np.uint64(top - 1)
+        # Symbols: 0 as order 2 says, 1 as order 1 says, 2 a slot of order 0, 3 a new id.
+        self.bits = np.array([0, 0, SEEN.bit_length() - 1, self.new_bits], np.uint64)
+        whole = 1 << PROB_BITS
+        least_new = max(LEAST, 2 << max(0, self.new_bits - 18)) + 32
+        ends = np.array([LEAST, 2 * LEAST, 3 * LEAST, whole])
+        late = whole - least_new - np.array([2 * LEAST, LEAST, 0, -least_new])
+        self.target = np.where(np.arange(4) >= np.arange(4)[:, None], late, ends).astype(np.int16).view(np.uint64).ravel()
+        two = np.array([2, 10, 24, 44])[:, None] / 64
+        one = (1 - two) * np.array([2, 8, 20, 40]) / 64
+        rest = 1 - two - one
+        shares = np.stack([two + 0 * one, two + one, two + one + rest / 3, 1 + 0 * one], -1)
+        self.start = np.minimum(np.floor(shares * whole), late).astype(np.int16).reshape(16, 4).view(np.uint64).ravel()
+
+        # Of every id: its place in the fixed prior, in units, and the binary logarithm of its width.
+        ids = np.arange(1 << top, dtype=np.uint64)
+        k = np.searchsorted(self.base, ids, side="right") - 1
+        self.place = (self.first[k] + ((ids - self.base[k]) << self.spread[k])).astype(np.uint32)
+        self.width = self.spread[k].astype(np.uint8)
+
+
+_ONE, _TWO, _THREE = np.uint32(1), np.uint32(2), np.uint32(3)
+
+
+def _slot(ids: np.ndarray) -> np.ndarray:
+    return (ids * np.uint32(0x9E3779B1)) >> np.uint32(24)
 
 
 class _Lanes:
@@ -78,38 +106,46 @@ class _Lanes:
 
     def __init__(self, model: Model, lanes: int):
         self.model = model
-        self.one = np.zeros(lanes * SLOTS, np.uint32)  # id in 24 bits, confidence above
-        self.two = np.zeros(lanes * SLOTS, np.uint32)
-        self.cdf = np.tile(model.start, (lanes * 16, 1))
-        self.width = model.symbols + 1
-        self.slots = np.arange(lanes, dtype=np.intp) * SLOTS
-        self.rows = np.arange(lanes, dtype=np.intp) * 16
+        self.table = np.zeros(2 * lanes * SLOTS, np.uint32)  # orders 1 and 2: id, confidence in the last two bits
+        self.seen = np.zeros(lanes * SEEN, np.uint32)
+        self.shares = np.tile(model.start, lanes)  # four ends of 16 bits each
+        lane = np.arange(lanes, dtype=np.intp)
+        self.slots = np.stack([lane, lane + lanes]) * SLOTS
+        self.rows, self.quads, self.seen_at = lane * 16, lane * 4, lane * SEEN
         self.before = np.zeros(lanes, np.uint32)
         self.before2 = np.zeros(lanes, np.uint32)
 
-    def predict(self, n: int):
-        p, pp = self.before[:n], self.before2[:n]
-        self.at1 = self.slots[:n] + ((p * np.uint32(0x9E3779B1)) >> np.uint32(21))
-        self.at2 = self.slots[:n] + (((p * np.uint32(0x85EBCA77)) ^ (pp * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)) >> np.uint32(21))
-        e1, e2 = self.one[self.at1], self.two[self.at2]
-        self.c1, self.c2 = e1 >> np.uint32(24), e2 >> np.uint32(24)
-        self.id1, self.id2 = e1 & ID_MASK, e2 & ID_MASK
-        self.row = self.rows[:n] + (self.c2 * np.uint32(4) + self.c1)
-
-    def learn(self, ids: np.ndarray, symbol: np.ndarray, own: np.ndarray, n: int) -> None:
-        own += (self.model.target[symbol] - own) >> RATE
-        self.cdf[self.row] = own
-        for table_, at, guess, conf in ((self.one, self.at1, self.id1, self.c1), (self.two, self.at2, self.id2, self.c2)):
-            right = guess == ids
-            new = np.where(right, np.minimum(conf + np.uint32(1), np.uint32(3)), np.maximum(conf >> np.uint32(1), np.uint32(1)))
-            table_[at] = np.where(right | (conf > 1), guess, ids) | (new << np.uint32(24))
+    def predict(self, n: int) -> None:
+        p = self.before[:n]
+        at = np.empty(2 * n, np.uint32)
+        np.multiply(p, np.uint32(0x9E3779B1), out=at[:n])
+        np.multiply((p * np.uint32(0x85EBCA77)) ^ (self.before2[:n] * np.uint32(0xC2B2AE3D)), np.uint32(0x27D4EB2F), out=at[n:])
+        at >>= np.uint32(32 - SLOT_BITS)
+        self.at = (self.slots[:, :n] + at.reshape(2, n)).ravel()
+        self.entry = self.table.take(self.at)
+        self.confidence = self.entry & _THREE
+        self.guess = self.entry >> _TWO
+        self.row = self.rows[:n] + ((self.confidence[n:] << _TWO) | self.confidence[:n])
+        self.own = self.shares.take(self.row)
+        self.ends = self.own.view(np.int16)
+
+    def interval(self, sym: np.ndarray, joint: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of a symbol's share; ``joint``: orders 1 and 2 say the same and their shares add up."""
+        at = self.quads[:len(sym)] + sym
+        below = self.ends.take(at - 1) * (sym > 0)
+        return below.astype(np.uint64), (self.ends.take(at + joint) - below).astype(np.uint64)
+
+    def learn(self, ids: np.ndarray, sym: np.ndarray, n: int) -> None:
+        self.ends += (self.model.target.take(sym).view(np.int16) - self.ends) >> RATE
+        self.shares[self.row] = self.own
+        both = np.concatenate((ids, ids))
+        fresh = np.where(self.confidence > _ONE, self.entry & ~_THREE, both << _TWO) | _ONE
+        self.table[self.at] = np.where(self.guess == both, self.entry + (self.confidence < _THREE), fresh)
+        self.seen[self.seen_at[:n] + _slot(ids)] = ids
         self.before2[:n] = self.before[:n]
         self.before[:n] = ids
 
 
-# SLOTS is 2^11, so a 32-bit hash is shifted by 21.
-assert SLOTS == 1 << 11
-
 _LOW32, _SHIFT32, _TOP = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(1 << 32)
 
 
@@ -137,21 +173,20 @@ def code_blocks(blocks: list[np.ndarray], model: Model) -> list[bytes]:
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
     words = np.zeros((lanes, int(sizes[0]) + 3), np.uint32)
     pos = np.zeros(lanes, np.intp)
-    classes = model.symbol_of(ids.reshape(-1)).reshape(ids.shape)
     for t, n in _active(sizes):
         x = ids[t, :n]
         state.predict(n)
-        sym = classes[t, :n]
-        rest = x.astype(np.uint64) - model.base[sym]
-        sym = np.where(state.id1 == x, 1, sym)
-        sym = np.where(state.id2 == x, 0, sym)
-        own = state.cdf[state.row]
-        lane = np.arange(n)
-        below, above = own[lane, sym].astype(np.uint64), own[lane, sym + 1].astype(np.uint64)
+        hit1, hit2 = state.guess.reshape(2, n) == x
+        slot = _slot(x)
+        hit0 = state.seen.take(state.seen_at[:n] + slot) == x
+        sym = np.where(hit2, 0, np.where(hit1, 1, 3 - hit0))
+        below, share = state.interval(sym, hit1 & hit2)
         r = rng[:n] >> np.uint64(PROB_BITS)
-        bits = model.bits[sym]
-        fine = (r * (above - below)) >> bits
-        new = low[:n] + r * below + np.where(sym > 1, fine * rest, np.uint64(0))
+        fine = (r * share) >> model.bits.take(sym)
+        is_new = sym == 3
+        unit = np.where(is_new, model.place.take(x), slot * (sym == 2))
+        new = low[:n] + r * below + fine * unit
+        fine <<= model.width.take(x) * is_new
         carry = np.flatnonzero(new < low[:n])
         if len(carry):
             at = pos[carry] - 1
@@ -166,7 +201,7 @@ def code_blocks(blocks: list[np.ndarray], model: Model) -> list[bytes]:
             new[need] <<= _SHIFT32
             fine[need] <<= _SHIFT32
         low[:n], rng[:n] = new, fine
-        state.learn(x, sym, own, n)
+        state.learn(x, sym, n)
     lane = np.arange(lanes)
     words[lane, pos] = (low >> _SHIFT32).astype(np.uint32)
     words[lane, pos + 1] = (low & _LOW32).astype(np.uint32)
@@ -193,21 +228,34 @@ def decode_blocks(coded: list[bytes], counts: list[int], model: Model) -> list[n
     rng = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
     code = (words[:, 0] << _SHIFT32) | words[:, min(1, longest - 1)]
     pos = np.full(lanes, 2, np.intp)
-    most = np.uint64((1 << PROB_BITS) - 1)
+    most, last_unit = np.uint64((1 << PROB_BITS) - 1), np.uint64((1 << model.new_bits) - 1)
     for t, n in _active(sizes):
         state.predict(n)
-        own = state.cdf[state.row]
         r = rng[:n] >> np.uint64(PROB_BITS)
-        value = np.minimum(code[:n] // r, most).astype(np.int32)
-        sym = np.add.reduce(own[:, 1:] <= value[:, None], axis=1, dtype=np.uint8).astype(np.intp)
-        lane = np.arange(n)
-        below, above = own[lane, sym].astype(np.uint64), own[lane, sym + 1].astype(np.uint64)
-        bits = model.bits[sym]
+        value = np.minimum(code[:n] // r, most).astype(np.int16)
+        ends = state.ends.reshape(n, 4)
+        sym = (value >= ends[:, 0]).astype(np.intp) + (value >= ends[:, 1]) + (value >= ends[:, 2])
+        guess1, guess2 = state.guess.reshape(2, n)
+        joint = (guess1 == guess2) & (sym < 2)
+        sym *= ~joint
+        below, share = state.interval(sym, joint)
+        fine = (r * share) >> model.bits.take(sym)
         c = code[:n] - r * below
-        fine = (r * (above - below)) >> bits
-        rest = np.where(sym > 1, np.minimum(c // fine, (np.uint64(1) << bits) - np.uint64(1)), np.uint64(0))
-        c -= fine * rest
-        x = np.where(sym == 0, state.id2, np.where(sym == 1, state.id1, (model.base[sym] + rest).astype(np.uint32)))
+        x = np.where(sym == 0, guess2, guess1)
+        far = np.flatnonzero(sym > 1)
+        width = fine[far]
+        unit = np.minimum(c[far] // width, np.where(sym[far] == 2, np.uint64(SEEN - 1), last_unit))
+        new = np.flatnonzero(sym[far] == 3)
+        k = model.class_of_part.take((unit[new] >> model.part_shift).astype(np.intp))
+        spread = model.spread.take(k)
+        rest = (unit[new] - model.first.take(k)) >> spread
+        found = state.seen.take(state.seen_at[far] + (unit & np.uint64(SEEN - 1)).astype(np.intp))
+        found[new] = (model.base.take(k) + rest).astype(np.uint32)
+        unit[new] = model.first.take(k) + (rest << spread)
+        x[far] = found
+        c[far] -= width * unit
+        width[new] <<= spread
+        fine[far] = width
         need = np.flatnonzero(fine < _TOP)
         if len(need):
             c[need] = (c[need] << _SHIFT32) | words[need, pos[need]]
@@ -215,7 +263,7 @@ def decode_blocks(coded: list[bytes], counts: list[int], model: Model) -> list[n
             fine[need] <<= _SHIFT32
         code[:n], rng[:n] = c, fine
         ids[t, :n] = x
-        state.learn(x, sym, own, n)
+        state.learn(x, sym, n)
     for k, i in enumerate(order):
         out[i] = ids[:sizes[k], k].copy()
     return out
@@ -269,8 +317,12 @@ def unpack_segments(bodies: list[bytes]) -> list[np.ndarray]:
 
 
 class WordTokenizer(dict):
-    """Ids of a text by the tokenizers library. The tokenizer drops white space and never joins what a space or line
-    feed parts, so distinct words are encoded once and looked up afterwards."""
+    """Ids of a text by the tokenizers library, as little-endian bytes per word. The tokenizer drops white space and never
+    joins what a space or line feed parts, so distinct words are encoded once and looked up afterwards. Words over
+    ``LONGEST_CACHED`` characters are encoded where they stand, so the cache is bounded in bytes."""
+
+    #: Stands between words that go to the library together; words that hold it go alone.
+    MARK = "|"
 
     def __init__(self, path: str):
         super().__init__()
@@ -278,24 +330,39 @@ class WordTokenizer(dict):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size()
+        self.mark, = self.library.encode(self.MARK, add_special_tokens=False).ids
+
+    def __missing__(self, word: str) -> bytes:
+        return np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _add(self, new: set[str]) -> None:
+        together = []
+        for w in new:
+            if len(w) <= LONGEST_CACHED:
+                if self.MARK in w:
+                    self[w] = self.__missing__(w)
+                else:
+                    together.append(w)
+        for at in range(0, len(together), 500):
+            part = together[at:at + 500]
+            line = f" {self.MARK} ".join(part) + f" {self.MARK}"
+            ids = np.array(self.library.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer joins words")
+            coded, a = ids.tobytes(), 0
+            for word, b in zip(part, (ends * 4).tolist()):
+                self[word] = coded[a:b]
+                a = b + 4
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set(chain.from_iterable(words)).difference(self))
+        new = set(chain.from_iterable(words)).difference(self)
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
-            new = list(set(chain.from_iterable(words)))
-        # New words go to the library as lines of words; offsets tell which ids are whose.
-        for at in range(0, len(new), 500):
-            part = new[at:at + 500]
-            e = self.library.encode(" ".join(part), add_special_tokens=False)
-            ends = np.cumsum([len(w) + 1 for w in part])
-            owner = np.searchsorted(ends, [a for a, _ in e.offsets], side="right")
-            edges = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
-            ids = e.ids
-            for word, a, b in zip(part, edges, edges[1:]):
-                self[word] = ids[a:b]
-        return [np.fromiter(chain.from_iterable(map(self.__getitem__, w)), np.uint32) for w in words]
+            new = set(chain.from_iterable(words))
+        self._add(new)
+        return [np.frombuffer(b"".join(map(self.__getitem__, w)), "<u4") for w in words]
 
 
 @lru_cache(2)

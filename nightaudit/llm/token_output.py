@@ -22,7 +22,9 @@ can be written.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,6 +34,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,11 +45,12 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 CACHED_WORDS = 700_000
 LONGEST_CACHED = 48
+BATCH_BYTES = 1 << 23
 
 MAGIC, VERSION = b"NACM", 2
 BLOCK = 2048
 LANES = 2048
-SLOT_BITS = 10
+SLOT_BITS = 9
 SLOTS = 1 << SLOT_BITS
 SEGMENT_IDS = 32 * BLOCK
 
@@ -316,53 +320,70 @@ def unpack_segments(bodies: list[bytes]) -> list[np.ndarray]:
     return [np.concatenate(p) if p else np.zeros(0, np.uint32) for p in parts]
 
 
-class WordTokenizer(dict):
-    """Ids of a text by the tokenizers library, as little-endian bytes per word. The tokenizer drops white space and never
-    joins what a space or line feed parts, so distinct words are encoded once and looked up afterwards. Words over
-    ``LONGEST_CACHED`` characters are encoded where they stand, so the cache is bounded in bytes."""
+class WordTokenizer:
+    """Ids of texts by the tokenizers library. The tokenizer drops white space and never joins what a space or line feed
+    parts, so each distinct word of a batch is looked up once, new words are encoded once, and Arrow puts the words' ids
+    (little-endian bytes) back in the texts' order. Words over ``LONGEST_CACHED`` characters are not kept, so the cache is
+    bounded in bytes. Normal forms change nothing in Latin-1 words but their case, so these are lower-cased here."""
 
     #: Stands between words that go to the library together; words that hold it go alone.
     MARK = "|"
+    LATIN = re.compile("[\x00-\xff]*")
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size()
         self.mark, = self.library.encode(self.MARK, add_special_tokens=False).ids
+        self.lower_cased = Tokenizer.from_str(json.dumps(json.loads(self.library.to_str()) | {"normalizer": None}))
+        self.known: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
+    def _alone(self, word: str) -> bytes:
         return np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _add(self, new: set[str]) -> None:
-        together = []
-        for w in new:
-            if len(w) <= LONGEST_CACHED:
-                if self.MARK in w:
-                    self[w] = self.__missing__(w)
-                else:
-                    together.append(w)
-        for at in range(0, len(together), 500):
-            part = together[at:at + 500]
+    def _together(self, words: list[str], library, lower: bool) -> Iterator[tuple[str, bytes]]:
+        for at in range(0, len(words), 500):
+            part = words[at:at + 500]
             line = f" {self.MARK} ".join(part) + f" {self.MARK}"
-            ids = np.array(self.library.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(ids == self.mark)
+            encoded, = library.encode_batch_fast([line.lower() if lower else line], add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark) * 4
             if len(ends) != len(part):
                 raise ValueError("the tokenizer joins words")
             coded, a = ids.tobytes(), 0
-            for word, b in zip(part, (ends * 4).tolist()):
-                self[word] = coded[a:b]
+            for word, b in zip(part, ends.tolist()):
+                yield word, coded[a:b]
                 a = b + 4
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set(chain.from_iterable(words)).difference(self)
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = set(chain.from_iterable(words))
-        self._add(new)
-        return [np.frombuffer(b"".join(map(self.__getitem__, w)), "<u4") for w in words]
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        out = {w: self._alone(w) for w in words if self.MARK in w}
+        latin, others = [], []
+        for w in words:
+            if w not in out:
+                (latin if w.isascii() or self.LATIN.fullmatch(w) else others).append(w)
+        out.update(self._together(latin, self.lower_cased, True))
+        out.update(self._together(others, self.library, False))
+        return out
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other (null: empty), and where each text's begin, and the end."""
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        names = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        coded = list(map(self.known.get, names))
+        missing = [i for i, c in enumerate(coded) if c is None]
+        if missing:
+            new = self._new([names[i] for i in missing])
+            for i in missing:
+                coded[i] = new[names[i]]
+            if len(self.known) + len(new) > CACHED_WORDS:
+                self.known.clear()
+            self.known.update((w, c) for w, c in new.items() if len(w) <= LONGEST_CACHED)
+        flat = pa.array(coded, pa.large_binary()).take(words.indices)
+        edges = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1) // 4
+        ids = np.frombuffer(flat.buffers()[2], "<u4", int(edges[-1])) if edges[-1] else np.zeros(0, np.uint32)
+        return ids, edges[lists.offsets.to_numpy()]
 
 
 @lru_cache(2)
@@ -402,11 +423,14 @@ def _write_segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa
                                          names=["shard", "segment", "first", "n_ids", "doc_ids", "counts", "body"])
 
     for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            b = whole.slice(at, 500)
-            for doc_id, ids in zip(b.column(0).to_pylist(), tok.encode_batch(b.column(1).to_pylist())):
-                docs.append((doc_id, np.append(ids, np.uint32(END_ID))))
-                held += len(ids) + 1
+        upto = np.cumsum(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(upto // BATCH_BYTES)) + 1).tolist(), whole.num_rows]
+        for at, end in zip(cuts, cuts[1:]):
+            b = whole.slice(at, end - at)
+            ids, edges = tok.encode_batch(b.column(1))
+            for doc_id, begin, end in zip(b.column(0).to_pylist(), edges[:-1].tolist(), edges[1:].tolist()):
+                docs.append((doc_id, np.append(ids[begin:end], np.uint32(END_ID))))
+                held += end - begin + 1
                 if held >= LANES * BLOCK:
                     yield from flush()
     if docs:

@@ -29,12 +29,16 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 BROADCAST_CONF = "nightaudit.broadcast.maxBytes"
 
 
-def sized_broadcast(dim: DataFrame) -> DataFrame:
-    """Broadcast ``dim`` if the optimizer's size estimate, an upper bound from the sizes of the files it reads, is
-    within the limit. No job is run and nothing is remembered; a table that has grown is judged anew."""
+def fits_broadcast(dim: DataFrame) -> bool:
+    """Is the optimizer's size estimate, an upper bound from the sizes of the files that ``dim`` reads, within the limit?
+    No job is run and nothing is remembered; a table that has grown is judged anew."""
     limit = int(dim.sparkSession.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_BYTES)))
-    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(dim) if size <= limit else dim
+    return int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
+def sized_broadcast(dim: DataFrame) -> DataFrame:
+    """Broadcast ``dim`` if it fits."""
+    return F.broadcast(dim) if fits_broadcast(dim) else dim
 
 
 def rows_per_key(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -134,6 +138,39 @@ def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], values: dict[str
     return joined.drop(*tmp.values(), *out.values(), "_lk_n")
 
 
+def lookup_roles(fact: DataFrame, dim: DataFrame, key: str, roles: dict[str, dict[str, str]], what: dict[str, str]
+                 ) -> DataFrame:
+    """Single-row lookups of several fact columns in one dim, as ``lookup`` for each: ``roles`` maps a fact column to its
+    values (dim column -> output name), ``what`` to its name in errors.
+
+    A dim that can be broadcast is joined for each role. A larger one is joined once: the distinct combinations of the
+    role columns are unpivoted to one narrow row for each id, meet the dim, and come back as one row for each combination,
+    so the wide fact is shuffled once for all roles."""
+    if fits_broadcast(dim):
+        for col, own in roles.items():
+            fact = lookup(fact, dim, {col: key}, own, what[col])
+        return fact
+    values = list(dict.fromkeys(v for own in roles.values() for v in own))
+    ids = list(roles)
+    asked = fact.select(*[F.col(c).alias(f"_lr_{c}") for c in ids]).distinct()
+    combination = asked.columns
+    each = asked.select("*", F.posexplode(F.array(*combination)).alias("_role", key)).where(F.col(key).isNotNull())
+    met = each.join(rows_per_key(dim, [key], values), key)
+    back = met.groupBy(*combination).agg(*[
+        F.max(F.when(F.col("_role") == i, F.struct("_n", *own))).alias(f"_role_{i}")
+        for i, own in enumerate(roles.values())])
+    cond = F.lit(True)
+    for c in ids:
+        cond = cond & fact[c].eqNullSafe(back[f"_lr_{c}"])
+    joined = fact.join(back, cond, "left")
+    for i, (col, own) in enumerate(roles.items()):
+        err = F.raise_error(F.concat(F.lit(f"single-row lookup on {what[col]} returned more than one row for key "),
+                                     F.to_json(F.struct(F.col(col)))))
+        for v, name in own.items():
+            joined = joined.withColumn(name, F.when(F.col(f"_role_{i}._n") > 1, err).otherwise(F.col(f"_role_{i}.{v}")))
+    return joined.drop(*combination, *[f"_role_{i}" for i in range(len(roles))])
+
+
 def first_account_code(ar_account: DataFrame, ppor_ar: DataFrame) -> DataFrame:
     """One accounting code per agent profile, over all resorts.
 

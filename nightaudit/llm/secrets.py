@@ -7,8 +7,7 @@ a name by = _ - or / is judged like a bare one. The entropy is kept by increment
 counts: one character enters and one leaves, and the sum of c * log2(c) over the counts changes by two table steps.
 The table is in millionths, so that all engines agree to the last bit. Hot windows that touch make one span.
 Windows inside a match of an allow-list pattern, or that touch a placeholder, are passed over, and spans are cut
-where base spans lie; what is left of them is added. The SQL text at the end still states the class and the allow-list
-by whole candidates and drops spans that overlap; the two agree where no candidate mixes classes and nothing overlaps.
+where base spans lie; what is left of them is added. The SQL text at the end counts every window's characters anew.
 
 Places are found in linear time: the pieces between the matches and the matches themselves become rows, and a running
 sum of their lengths within a text gives the code-point offsets. Texts without a match cost one scan for each pattern
@@ -38,17 +37,17 @@ KINDS = ["assign", "access", "hex", "entropy"]
 
 WINDOW = 20
 CANDIDATE = rf"[A-Za-z0-9+/=_-]{{{WINDOW},}}"
-#: Bits per character that a window must reach, by the class of the whole candidate; the first that fits counts.
-CLASSES = [("hex", r"^[0-9a-fA-F]+$", 3.0), ("alnum", r"^[0-9a-z]+$", 3.6), ("base64", r"", 3.8)]
 #: Candidates that are no secrets: words, numbers, UUIDs, rulers, placeholders, lower-case paths and slugs.
 ALLOWED = [r"^[A-Za-z]?[a-z]+$", r"^[A-Z]+$", r"^[0-9=_-]+$", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
            r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{6}|0123456789|abcdefgh",
            r"^/?[a-z]+([/_-][a-z]+)+/?$"]
 
-#: The same by window: SQL for "code point c is of the class", and the bits.
+#: Bits per character that a window must reach, by its class (SQL for "code point c is of the class"); the first that
+#: fits counts, and OTHER_BITS where none does.
 WINDOW_CLASSES = {"hex": ("c BETWEEN 48 AND 57 OR c BETWEEN 65 AND 70 OR c BETWEEN 97 AND 102", 3.0),
                   "lower": ("c BETWEEN 48 AND 57 OR c BETWEEN 97 AND 122", 3.6),
                   "upper": ("c BETWEEN 48 AND 57 OR c BETWEEN 65 AND 90", 3.6)}
+OTHER_BITS = 3.8
 #: The allow-list within a candidate: what a window may lie inside of, and placeholders that it may not touch.
 INSIDE = [p.removeprefix("^").removesuffix("$") for p in ALLOWED if p.startswith("^")]
 TOUCHED = [p for p in ALLOWED if not p.startswith("^")]
@@ -65,7 +64,7 @@ def _hot(upto: str) -> str:
     """SQL: the spans so far, with the window of state ``st`` that ends before ``upto`` where it is hot."""
     a = f"{upto} - {WINDOW}"
     most = " ".join(f"WHEN st.{k} < {a} THEN {_most(bits)}L" for k, (_, bits) in WINDOW_CLASSES.items())
-    return f"""CASE WHEN {upto} < {WINDOW} OR st.total > CASE {most} ELSE {_most(CLASSES[-1][2])}L END
+    return f"""CASE WHEN {upto} < {WINDOW} OR st.total > CASE {most} ELSE {_most(OTHER_BITS)}L END
       OR exists(inside, x -> x.a <= {a} AND x.b >= {upto}) OR exists(touched, x -> x.a < {upto} AND x.b > {a}) THEN st.spans
       WHEN size(st.spans) > 0 AND st.spans[size(st.spans) - 1].b >= {a} THEN concat(
         slice(st.spans, 1, size(st.spans) - 1), array(struct(st.spans[size(st.spans) - 1].a AS a, {upto} AS b)))
@@ -211,25 +210,41 @@ def _oracle() -> str:
         f"unnest(range(1, len(m) + 1)) AS i FROM (SELECT rid, regexp_extract_all(t, {q(p)}) AS m, "
         f"regexp_split_to_array(t, {q(p)}) AS p, " + (f"regexp_extract_all(t, {q(p)}, 2)" if k == 0 else "NULL")
         + " AS v FROM d))" for k, p in enumerate(kinds))
-    allowed = " OR ".join(f"regexp_matches(s, {q(p)})" for p in ALLOWED)
-    most = "CASE " + " ".join(f"WHEN regexp_matches(s, {q(p)}) THEN {_most(b)}" for _, p, b in CLASSES) + " END"
+    # Places of allow-list matches in the candidates; True: a window inside is passed over, False: one that touches.
+    allowed = "\nUNION ALL\n".join(
+        f"SELECT rid, start, {k} AS p, {inside} AS inside, i, length(o[i]) AS gap, length(m[i]) AS len FROM (SELECT rid, start, "
+        f"m, o, unnest(range(1, len(m) + 1)) AS i FROM (SELECT rid, start, regexp_extract_all(s, {q(p)}) AS m, "
+        f"regexp_split_to_array(s, {q(p)}) AS o FROM cand))"
+        for k, (p, inside) in enumerate([(p, True) for p in INSIDE] + [(p, False) for p in TOUCHED]))
+    letters = {"hex": "[0-9a-fA-F]+", "lower": "[0-9a-z]+", "upper": "[0-9A-Z]+"}
+    most = "CASE " + " ".join(f"WHEN regexp_full_match(w, {q(letters[k])}) THEN {_most(bits)}"
+                              for k, (_, bits) in WINDOW_CLASSES.items()) + f" ELSE {_most(OTHER_BITS)} END"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 m AS ({parts}),
 placed AS (SELECT *, sum(gap + len) OVER (PARTITION BY rid, kind ORDER BY i) - len AS start FROM m),
 base AS (SELECT rid, kind, start, start + len AS stop FROM placed WHERE kind < 3 AND good),
-cand AS (SELECT rid, start, s, {most} AS most FROM placed WHERE kind = 3 AND NOT ({allowed})),
-win AS (SELECT rid, start, most, a, substr(s, a + 1, {WINDOW}) AS w
+cand AS (SELECT rid, start, s FROM placed WHERE kind = 3),
+allow AS ({allowed}),
+ban AS (SELECT rid, start, inside, till - len AS b, till AS e FROM (SELECT *, sum(gap + len) OVER (
+        PARTITION BY rid, start, p ORDER BY i) AS till FROM allow) WHERE NOT inside OR len >= {WINDOW}),
+win AS (SELECT rid, start, a, substr(s, a + 1, {WINDOW}) AS w
         FROM (SELECT *, unnest(range(0, length(s) - {WINDOW} + 1)) AS a FROM cand)),
-chars AS (SELECT rid, start, most, a, unnest(string_split(w, '')) AS c FROM win),
+judged AS (SELECT *, {most} AS most FROM win WHERE NOT EXISTS (SELECT 1 FROM ban WHERE ban.rid = win.rid AND ban.start = win.start
+           AND if(inside, b <= a AND e >= a + {WINDOW}, b < a + {WINDOW} AND e > a))),
+chars AS (SELECT rid, start, most, a, unnest(string_split(w, '')) AS c FROM judged),
 cnt AS (SELECT rid, start, most, a, c, count(*) AS n FROM chars GROUP BY ALL),
 hot AS (SELECT rid, start, a FROM cnt GROUP BY rid, start, most, a
         HAVING sum([{', '.join(map(str, MILLIONTHS))}][n + 1]) <= most),
 isl AS (SELECT *, sum(CASE WHEN a <= prev + {WINDOW} THEN 0 ELSE 1 END) OVER (PARTITION BY rid, start ORDER BY a) AS g
         FROM (SELECT *, lag(a) OVER (PARTITION BY rid, start ORDER BY a) AS prev FROM hot)),
 reg AS (SELECT rid, 3 AS kind, start + min(a) AS start, start + max(a) + {WINDOW} AS stop FROM isl GROUP BY rid, isl.start, g),
-spans AS (SELECT * FROM base UNION ALL SELECT * FROM reg WHERE NOT EXISTS (
-          SELECT 1 FROM base WHERE base.rid = reg.rid AND base.start < reg.stop AND base.stop > reg.start)),
+opened AS (SELECT rid, start AS a, stop FROM reg UNION SELECT reg.rid, base.stop, reg.stop FROM reg JOIN base ON base.rid = reg.rid
+           AND base.stop > reg.start AND base.stop < reg.stop),
+pieces AS (SELECT rid, 3 AS kind, a AS start, least(stop, coalesce((SELECT min(start) FROM base
+           WHERE base.rid = opened.rid AND base.start > opened.a), stop)) AS stop FROM opened
+           WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.rid = opened.rid AND base.start <= opened.a AND base.stop > opened.a)),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM pieces),
 named AS (SELECT *, concat([{', '.join(q(k) for k in KINDS)}][kind + 1], ':', CAST(start AS BIGINT), ':', CAST(stop AS BIGINT)) AS x FROM spans),
 per AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
         count(*) FILTER (kind = 2) AS n_hex, string_agg(x, ',' ORDER BY start, kind) FILTER (kind < 3) AS b,

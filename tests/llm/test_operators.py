@@ -6,8 +6,10 @@ import re
 import time
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -85,6 +87,46 @@ def test_token_output_equals_library(spark, docs, edge_rows, tmp_path):
     assert token_output.read_tokens(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_word_ids_equal_library_on_hostile_texts(monkeypatch):
+    """Marks, special tokens, long words, other scripts, joining signs and control characters; also with a cache that
+    overflows in every batch."""
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(token_output.TOKENIZER)
+    lib, rng = Tokenizer.from_file(path), random.Random(5)
+    parts = ["|", "||", "a|b", "<|endoftext|>", "<|startoftext|>x", "It's", "DON'T", "'s", "x.,;", "é", "e\u0301", "\u0301", "İ",
+             "ΣΑΣ", "ß", "µ", "\xa0", "\x85", "\xad", "\x1c", "\t", "\r\n", "\n\n", "日本語", "한글", "ﬁ", "k" * 60, "½²", "१२",
+             "\U0001f511", "\u200d", "#@*", "Wörter", "ÀÉ", "Ǆ", "…", "\u2028"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", "", " ", "  "]) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    texts += [None, "", " ", "\n", "x" * 200_000]
+    for most in (token_output.CACHED_WORDS, 10):
+        monkeypatch.setattr(token_output, "CACHED_WORDS", most)
+        tok = token_output.WordTokenizer(path)
+        for at in range(0, len(texts), 500):
+            part = texts[at:at + 500]
+            ids, edges = tok.encode_batch(pa.array(part, pa.string()).slice(0))
+            for t, a, b in zip(part, edges[:-1], edges[1:]):
+                assert ids[a:b].tolist() == lib.encode(t or "", add_special_tokens=False).ids, repr(t)
+        assert all(len(w) <= token_output.LONGEST_CACHED for w in tok.known)
+    assert [len(x) for x in tok.encode_batch(pa.array([], pa.string()))] == [0, 1]
+
+
+@pytest.mark.parametrize("vocabulary", [300, 49408, 1 << 20])
+def test_coder_takes_any_vocabulary(vocabulary):
+    """Blocks of rare, repeated and boundary ids, for small and large vocabularies; order 0 and the blend save space."""
+    rng = np.random.default_rng(vocabulary)
+    edges = np.array([0, 1, 255, 256, 257, vocabulary - 2, vocabulary - 1], np.uint32)
+    few = rng.integers(0, vocabulary, 40).astype(np.uint32)
+    blocks = [rng.choice(edges, 700), rng.choice(few, 2048), rng.integers(0, vocabulary, 2048).astype(np.uint32), np.zeros(0, np.uint32),
+              np.tile(few, 50)]
+    model = token_output.Model(vocabulary)
+    coded = token_output.code_blocks(blocks, model)
+    for a, b in zip(blocks, token_output.decode_blocks(coded, [len(b) for b in blocks], model)):
+        assert np.array_equal(a, b)
+    raw = 2048 * (vocabulary - 1).bit_length() / 8
+    assert len(coded[1]) < 0.75 * raw or vocabulary < 512  # repeated ids in no order: a slot of order 0
+    assert len(coded[4]) < 600  # one cycle, over and over: orders 1 and 2 agree
+
+
 # ---- 2: secrets
 
 def test_secret_spans(docs):
@@ -131,6 +173,33 @@ def test_entropy_beside_base_spans_stays(docs):
     assert access not in red and not any(blob[i:i + 8] in red for i in range(len(blob) - 7))
 
 
+def _secret_texts(n):
+    """Texts with glued keys, allow-listed strings and base kinds, many of which meet or overlap."""
+    rng = random.Random(11)
+    letters = ["0123456789abcdef", "0123456789ABCDEF", "0123456789abcdefghijklmnopqrstuvwxyz",
+               "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"]
+    fixed = ["password=", "api_key: '", "token=", "AKIA", "example", "placeholder", "0123456789", "xxxxxx", "aaaaaaaaaaaaaaaaaaaaaaa",
+             "550e8400-e29b-41d4-a716-446655440000", "some/plain_path/with-words", "lower", "UPPER", "\n", "é ", "\U0001f511", ", ", "==="]
+
+    def piece():
+        if rng.random() < 0.5:
+            return rng.choice(fixed)
+        return "".join(rng.choices(rng.choice(letters), k=rng.choice([3, 12, 16, 19, 20, 21, 32, 45])))
+    return ["".join(piece() + rng.choice(["", "", "=", "/", "-", "_", " ", " "]) for _ in range(rng.randrange(9))) for _ in range(n)]
+
+
+def test_secrets_equal_sql_on_drawn_texts(spark, tmp_path):
+    """The registered query against its SQL, on a table that holds entropy spans of every window class."""
+    rows = [(i, t) for i, t in enumerate([*_secret_texts(300), None, ""])] + [(5, "sha1=" + "0123456789ABCDEF" * 3)] * 2
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = secrets.op2_secret_scans(spark, str(tmp_path))
+    spans = ",".join(r.spans for r in got.collect())
+    assert spans.count("entropy") > 100 and spans.count("assign") > 20 and spans.count("hex") > 5
+    assert compare("op2_secret_scans", got, secrets.ORACLE_SQL["op2_secret_scans"], con)
+
+
 # ---- 3: token counts
 
 def test_rollup_is_idempotent(spark, tmp_path):

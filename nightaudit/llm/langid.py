@@ -170,8 +170,10 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_total: int = S
     each = ranked.filter("r = 1").agg(F.count("*").alias("languages")).select(
         F.greatest(F.floor(F.lit(sample_total) / F.greatest("languages", F.lit(1))), F.lit(1)).alias("each"))
     chosen = ranked.crossJoin(F.broadcast(each)).filter("r <= each").select("doc_id").distinct()  # one row
-    rows = (known.join(chosen, "doc_id", "left_semi").select("text", "lang")
-            .mapInArrow(_sample_windows, "lang string, x binary").orderBy("lang", "x").collect())  # bounded by the sample
+    # The chosen ids are bounded by the sample (or one for each language), so the texts stay where they are read.
+    rows = (known.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
+            .mapInArrow(_sample_windows, "lang string, x binary").collect())  # bounded by the sample
+    rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     languages = sorted({r["lang"] for r in rows})
     net = ByteCnn(languages)
     if len(languages) > 1:

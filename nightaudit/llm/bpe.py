@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from nightaudit.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 600_000
+CACHED_PIECES = 150_000
 SHORT = 48
 BLOCK = 64
 #: Code points that are scanned together; a longer text is scanned alone.

@@ -46,7 +46,7 @@ THRESHOLD_PERCENT = 85
 #: standard deviation of 5.6; more than so many differ once in a hundred million pairs.
 SKETCH_MOST = 68
 CHUNK = 2048
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
 #: Most document ids (8 bytes each) in a broadcast.
 BROADCAST_IDS = 2_000_000
 

@@ -26,6 +26,8 @@ WINDOW = 13
 HEAD = 8
 #: Most benchmark windows in one broadcast (some 200 bytes each).
 MAX_BROADCAST_WINDOWS = 1_000_000
+#: Most keys of contaminated rows (16 bytes each) in a broadcast.
+MAX_BROADCAST_KEYS = 1_000_000
 #: Key of the marker that gives each document one row of its own.
 MARKER = "xxhash64('one row for each document')"
 
@@ -109,8 +111,10 @@ def contaminated() -> Column:
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
-    """``docs`` without the contaminated rows, its columns unchanged. Rows are found again by id and text."""
-    bad = hits(docs, benchmark, n).filter(contaminated()).select("doc_id", "text_key").distinct()
+    """``docs`` without the contaminated rows, its columns unchanged. Rows are found again by id and text; the texts stay
+    where they are if the keys of the contaminated ones are at most ``MAX_BROADCAST_KEYS``."""
+    bad = stored(hits(docs, benchmark, n).filter(contaminated()).select("doc_id", "text_key").distinct(), "decontamination-bad")
+    bad = F.broadcast(bad) if bad.count() <= MAX_BROADCAST_KEYS else bad
     rest = packed(docs).join(bad, F.col("q_doc.doc_id").eqNullSafe(F.col("doc_id"))
                              & (F.xxhash64("q_doc.text") == F.col("text_key")), "left_anti")
     return unpacked(rest, docs.columns)

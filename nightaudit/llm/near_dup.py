@@ -172,11 +172,15 @@ def _open(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
     return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * THRESHOLD_PERCENT) & (differ <= SKETCH_MOST))
 
 
+def _few_ids(ids: DataFrame) -> DataFrame:
+    """``ids`` (stored, one column) for a join with texts: broadcast if they are at most ``BROADCAST_IDS``."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _shingle_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, shingles), stored: the full sets of the documents that ``nodes`` (stored, distinct) names. The ids are
     broadcast if they are at most ``BROADCAST_IDS``, which leaves the texts where they are."""
-    ids = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
-    texts = docs.select(F.col("doc_id").alias("node"), text_or_empty().alias("text")).join(ids, "node", "left_semi")
+    texts = docs.select(F.col("doc_id").alias("node"), text_or_empty().alias("text")).join(_few_ids(nodes), "node", "left_semi")
     return stored(texts.mapInArrow(_sets, "node long, shingles array<long>"), "near-dup-sets")
 
 
@@ -291,12 +295,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
                        "near-dup-own-ids").drop("top")
         rows = rows.join(named, ["doc_id", "text_key"], "left").withColumn("doc_id", F.coalesce("own_id", "doc_id"))
     found = stored(near_duplicates(rows.select("doc_id", F.col("q_doc.text").alias("text"))), "near-dup-result")
-    gone = found.filter("NOT kept").select("doc_id").distinct()
-    rest = rows.join(gone, "doc_id", "left_anti")
+    gone = stored(found.filter("NOT kept").select("doc_id").distinct(), "near-dup-gone")
+    rest = rows.join(_few_ids(gone), "doc_id", "left_anti")
     # Rows that repeat a kept document: one of them stays.
     again = stored(found.filter("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.count("*").alias("n")).filter("n > 1").select("doc_id"), "near-dup-again")
     if not again.isEmpty():
+        again = _few_ids(again)
         repeated = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         rest = rest.join(again, "doc_id", "left_anti").unionByName(repeated)
     return unpacked(rest, docs.columns)

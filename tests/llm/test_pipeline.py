@@ -5,7 +5,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from nightaudit.llm import bpe, decontamination, secrets
+from nightaudit.llm import bpe, decontamination, near_dup, secrets
 from nightaudit.llm.common import stored, table
 from nightaudit.llm.near_dup import BRUTE_FORCE_SQL
 from tools.compare import duck
@@ -34,3 +34,10 @@ def test_stages(spark, tmp_path):
                             mergeable_ranks=bpe.load_ranks(public_tokenizers.path(bpe.RANKS)))
     ids = {r.doc_id: r.ids for r in encoded.collect()}
     assert ids == {r.doc_id: lib.encode_ordinary(r.text) for r in redacted.collect()}
+
+
+def test_texts_are_not_moved_for_a_few_keys(spark):
+    docs = table(spark, SF, "documents")
+    results = [near_dup.keep_one(docs), decontamination.remove_documents(docs, table(spark, SF, "benchmark")), secrets.redact(docs)]
+    for df in results:
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()

@@ -127,6 +127,50 @@ def test_coder_takes_any_vocabulary(vocabulary):
     assert len(coded[4]) < 600  # one cycle, over and over: orders 1 and 2 agree
 
 
+def test_words_that_differ_in_case_or_last_signs_are_encoded_once():
+    """Also where folding would be wrong: marks, special tokens, contractions, signs behind digits, letters beyond Latin-1."""
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(token_output.TOKENIZER)
+    lib, tok = Tokenizer.from_file(path), token_output.WordTokenizer(path)
+    tok.encode_batch(pa.array(["Élan élan, ÉLAN. élan!? dog Dog; DOG..."]))
+    assert set(tok.known) == {"", "élan", "dog", ",", ".", "!?", ";", "..."}
+    letters = [chr(c) for c in range(0xc0, 0x180)] + ["J\u030c", "H\u0331", "a\u0301", "Ω", "ǅ", "×", "÷", "µ", "ª"]
+    texts = [f"{a}{b}{c}" for a in ["", "x", "don't", "'S", "2", "<|ENDOFTEXT|>", "<|endoftext|>"] for b in ["", *letters]
+             for c in ["", ",", "...", "'.", "|.", "\t.", ".a", "\xa0!"]]
+    ids, edges = tok.encode_batch(pa.array(texts))
+    for t, a, b in zip(texts, edges[:-1], edges[1:]):
+        assert ids[a:b].tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+@pytest.mark.parametrize("vocabulary", [5, 49408, 1 << 24])
+def test_sorted_contexts_are_those_of_the_decoder(monkeypatch, vocabulary):
+    """The coder needs no tables of contexts, the decoder does; blocks of all lengths, with id 0 in empty slots, carries
+    and more lanes than are sorted together."""
+    rng = np.random.default_rng(vocabulary)
+    blocks = [rng.integers(0, min(vocabulary, rng.choice([2, 300, vocabulary])), n).astype(np.uint32)
+              for n in [0, 1, 2, 3, 2047, 2048, *rng.integers(0, 90, 150)]]
+    blocks += [np.tile(rng.integers(0, vocabulary, 9).astype(np.uint32), 20), np.zeros(64, np.uint32)]
+    model = token_output.Model(vocabulary)
+    with monkeypatch.context() as m:
+        m.setattr(token_output, "_Lanes", None)
+        coded = token_output.code_blocks(blocks, model)
+    assert all(len(c) % 4 == 0 for c in coded)
+    for a, b in zip(blocks, token_output.decode_blocks(coded, [len(b) for b in blocks], model)):
+        assert np.array_equal(a, b)
+    assert token_output.code_blocks([blocks[4]], model) == [coded[4]]  # a block does not depend on its neighbours
+
+
+def test_bits_are_packed_in_runs():
+    rng = np.random.default_rng(1)
+    counts = np.array([0, 5, 0, 1, 700, 0, 33])
+    widths = rng.integers(0, 33, counts.sum())
+    values = rng.integers(0, 1 << 32, counts.sum()) & ((1 << widths) - 1)
+    words, lengths = token_output.pack_bits(values, widths, counts)
+    assert len(words) == lengths.sum()
+    assert np.array_equal(token_output.unpack_bits(words, np.cumsum(lengths) - lengths, widths, counts), values)
+    assert [len(x) for x in token_output.pack_bits(values[:0], widths[:0], counts * 0)] == [0, len(counts)]
+
+
 # ---- 2: secrets
 
 def test_secret_spans(docs):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from nightaudit.functions.oracle import profile_name
 from nightaudit.operators.contacts import with_contacts
 from nightaudit.operators.lists import bill_number_list
-from nightaudit.operators.lookups import checked, departure_day, lookup
+from nightaudit.operators.lookups import checked, departure_day, lookup_roles, lookup_side
 from nightaudit.operators.revenue import revenue_classes
 
 MONEY = "decimal(18,4)"
@@ -47,9 +47,9 @@ def departure_names(t, rn: DataFrame | None = None) -> DataFrame:
     dep = departure_day(t["reservation_daily_element_name"], t["reservation_daily_elements"],
                         t["reservation_name"] if rn is None else rn)
     display = t["name"].select("name_id", profile_name().alias("display"))
-    dep = lookup(dep, display, {"travel_agent_id": "name_id"}, {"display": "travel_agent"}, "agent profile")
-    dep = lookup(dep, display, {"company_id": "name_id"}, {"display": "company"}, "company profile")
-    dep = lookup(dep, display, {"group_id": "name_id"}, {"display": "group_name"}, "group profile")
+    dep = lookup_roles(dep, display, "name_id", {
+        "travel_agent_id": {"display": "travel_agent"}, "company_id": {"display": "company"}, "group_id": {"display": "group_name"}},
+        {"travel_agent_id": "agent profile", "company_id": "company profile", "group_id": "group profile"})
     return dep.select("resort", "resv_name_id", *DEPARTURE, "_dep_n")
 
 
@@ -70,7 +70,7 @@ def loyalty_statement(t) -> DataFrame:
     prof = t["name"].select("name_id", "title", "last", "first")
     dep = departure_names(t, t["reservation_name"].where(F.col("resv_status") == "CHECKED OUT")).withColumnRenamed("resv_name_id", "original_resv_name_id")
     stay = ["resort", "original_resv_name_id"]
-    rows = with_contacts(stay_bill_revenue(t).join(rn, stay).join(prof, "name_id"), t["name_phone"], t["name_document"])
+    rows = with_contacts(stay_bill_revenue(t).join(rn, stay).join(lookup_side(prof), "name_id"), t["name_phone"], t["name_document"])
     rows = checked(rows.join(dep, stay, "left"), "_dep_n", DEPARTURE, "departure day", stay)
     # A1: GROUP BY the 16 stay columns + bill_no
     a1 = rows.groupBy(*STAY_KEYS, "bill_no").agg(
